@@ -195,31 +195,30 @@ def average_rank_percentile(name: str) -> Column:
                       F.lit(0)).cast("decimal(14,8)")
 
 
-def exact_percentiles(df: DataFrame, value: str, probabilities: dict[str, str]) -> DataFrame:
-    """One row with linearly interpolated percentiles, exact at any number of distinct values.
+def exact_percentiles(df: DataFrame, value: str, probabilities: dict[str, str], by: Sequence[str] = ()) -> DataFrame:
+    """Linearly interpolated percentiles, per ``by`` group or over all rows, exact at any number of distinct values.
 
     Equal values are counted first, so only distinct values are sorted.
     ``probabilities`` maps a column name to a decimal such as ``"0.9"``.
     """
-    counted = (df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast(VALUE_TYPE).alias("v"))
-               .agg(F.count(F.lit(1)).alias("n")))
-    placed = global_positions(counted, ["v"], {"p": Order(F.col("v"), amount=F.col("n"))})
-    n = F.col("n").cast("decimal(38,6)")
-    placed = (placed.join(counted, "v").withColumn("upto", F.col("p_running"))
-              .withColumn("from", F.col("p_running") - n))
-    size = counted.agg(F.sum("n").alias("size"))
+    by = list(by)
+    counted = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast(VALUE_TYPE).alias("v"))
+               .agg(F.count(F.lit(1)).cast("decimal(38,6)").alias("n")))
+    placed = _shifted(_local_positions(counted, by, ["v"], [], "n", None), by, ["v"], "n", few_groups=not by)
+    sizes = counted.groupBy(*by).agg(F.sum("n").alias("size"))
+    placed = placed.join(sizes, by) if by else placed.crossJoin(F.broadcast(sizes))
+    upto, start = F.col("running"), F.col("running") - F.col("n")
     picks, outputs = [], []
     for name, probability in probabilities.items():
         place = (F.col("size") - 1).cast("decimal(20,0)") * F.lit(probability).cast("decimal(9,6)")
         low, high = F.floor(place), F.ceil(place)
-        covers = lambda at: (F.col("from") <= at) & (at < F.col("upto"))
-        picks += [F.max(F.when(covers(low), F.col("v"))).alias(f"{name}_low"),
-                  F.max(F.when(covers(high), F.col("v"))).alias(f"{name}_high"),
+        picks += [F.max(F.when((start <= low) & (low < upto), F.col("v"))).alias(f"{name}_low"),
+                  F.max(F.when((start <= high) & (high < upto), F.col("v"))).alias(f"{name}_high"),
                   F.max(place - low).alias(f"{name}_step")]
         step = F.col(f"{name}_step").cast("double")
         outputs.append((F.col(f"{name}_low").cast("double")
                         + (F.col(f"{name}_high") - F.col(f"{name}_low")).cast("double") * step).alias(name))
-    return placed.crossJoin(F.broadcast(size)).agg(*picks).select(*outputs)
+    return placed.groupBy(*by).agg(*picks).select(*by, *outputs)
 
 
 def bounded_median(df: DataFrame, value: str) -> DataFrame:
@@ -228,4 +227,4 @@ def bounded_median(df: DataFrame, value: str) -> DataFrame:
     The rows are counted per value first; one task then sees at most one entry per possible value.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    return counted.agg(F.percentile(value, 0.5, "n").alias("median"))
+    return counted.agg(F.percentile(F.col(value).cast("double"), 0.5, F.col("n")).alias("median"))

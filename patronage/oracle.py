@@ -271,3 +271,96 @@ LEFT JOIN (SELECT customer_unique_id, payment_type_primary, row_number() OVER (
 LEFT JOIN (SELECT customer_unique_id, sum(order_gmv) AS gmv FROM s_values
            WHERE order_purchase_timestamp >= TIMESTAMP '2001-01-01' GROUP BY 1) a
   ON a.customer_unique_id = b.customer_unique_id""")
+
+# -- scores, actions, views ----------------------------------------------------
+
+table("g_scored", f"""
+SELECT p.*, s.churn_probability, s.avg_sentiment_score, s.expected_next_purchase_days, s.clv_predicted_6m,
+       s.clv_ci_lower, s.clv_ci_upper, s.km_cluster, r.recency_score, r.frequency_score, r.monetary_score, r.rfm_score,
+       r.rfm_segment,
+       CASE WHEN s.clv_predicted_6m IS NULL THEN 0 ELSE {ratio('(2 * q.rk + q.ties - 1) * 50', 'q.n', 8)} END AS clv_percentile
+FROM g_360 p JOIN c_scores s USING (customer_unique_id) JOIN g_rfm r USING (customer_unique_id)
+LEFT JOIN (SELECT customer_unique_id, rank() OVER (ORDER BY clv_predicted_6m) AS rk,
+                  count(*) OVER (PARTITION BY clv_predicted_6m) AS ties, count(*) OVER () AS n
+           FROM c_scores WHERE clv_predicted_6m IS NOT NULL) q USING (customer_unique_id)""")
+
+table("g_queue", """
+SELECT customer_unique_id, action_type,
+       CASE action_type WHEN 'RETENTION_CAMPAIGN' THEN 'HIGH' WHEN 'MONITOR' THEN 'LOW' ELSE 'MED' END AS priority,
+       churn_probability, clv_predicted_6m AS clv_predicted,
+       CASE action_type
+         WHEN 'RETENTION_CAMPAIGN' THEN 'Churn risk ' || cs || ' ≥ 0.60; CLV ' || vs || ' at ' || ps
+           || ' (≥ 50th) — high-value customer, premium retention warranted'
+         WHEN 'REACTIVATION' THEN 'Churn risk ' || cs || ' ≥ 0.60; CLV ' || vs || ' at ' || ps
+           || ' (< 50th) — lower-value at-risk, cost-efficient reactivation'
+         WHEN 'VIP_UPGRADE' THEN 'Segment: ' || rfm_segment || ' (in [''Champions'']); CLV ' || vs || ' at ' || ps
+           || ' (≥ 90th) — VIP candidate for loyalty programme or account manager'
+         ELSE 'No high-priority conditions met — churn=' || cs || ', segment=' || rfm_segment || ', CLV ' || vs || ' at '
+           || ps || ', health=' || health_tier END AS trigger_reason,
+       TIMESTAMP '2001-08-02' AS created_at
+FROM (SELECT *, coalesce(printf('%.3f', CAST(churn_probability AS DOUBLE)), 'N/A') AS cs,
+             coalesce('R$' || printf('%.2f', CAST(clv_predicted_6m AS DOUBLE)), 'NULL') AS vs,
+             printf('%.0f', clv_percentile) || 'th pct' AS ps,
+             CASE WHEN churn_probability >= 0.6 AND clv_percentile >= 50 THEN 'RETENTION_CAMPAIGN'
+                  WHEN churn_probability >= 0.6 AND clv_percentile < 50 THEN 'REACTIVATION'
+                  WHEN rfm_segment = 'Champions' AND clv_percentile >= 90 THEN 'VIP_UPGRADE'
+                  ELSE 'MONITOR' END AS action_type
+      FROM g_scored)""")
+
+table("g_health", """
+SELECT s.*, CASE WHEN s.days_since_last_order <= 30 THEN '0-30 days' WHEN s.days_since_last_order <= 90 THEN '31-90 days'
+                 WHEN s.days_since_last_order <= 180 THEN '91-180 days' ELSE '180+ days' END AS recency_band,
+       CASE WHEN recency_score >= 4 THEN 'High' WHEN recency_score = 3 THEN 'Medium' ELSE 'Low' END AS recency_tier,
+       CASE WHEN frequency_score >= 4 THEN 'High' WHEN frequency_score = 3 THEN 'Medium' ELSE 'Low' END AS frequency_tier,
+       CASE WHEN monetary_score >= 4 THEN 'High' WHEN monetary_score = 3 THEN 'Medium' ELSE 'Low' END AS monetary_tier,
+       c.actual_gmv_post_cutoff, c.preferred_payment_type, c.total_categories_purchased,
+       q.action_type AS latest_action_type, q.priority AS latest_action_priority, q.trigger_reason AS latest_action_reason,
+       q.created_at AS latest_action_date, k.as_of_date
+FROM g_scored s LEFT JOIN g_clv c USING (customer_unique_id) LEFT JOIN g_queue q USING (customer_unique_id)
+CROSS JOIN g_const k""")
+
+table("g_signals", f"""
+SELECT *, CASE WHEN is_churned = 1 AND churn_probability > 0.4 THEN 'Rule + model agree: churned'
+               WHEN is_churned = 1 THEN 'Rule-based: no order in 180+ days'
+               WHEN churn_probability > 0.4 THEN 'Model-flagged: at risk' ELSE 'Active' END AS churn_driver_summary,
+       CASE WHEN db >= sb AND db >= rb AND db >= mb AND db > 3000 THEN 'Delivery experience'
+            WHEN sb >= rb AND sb >= mb AND sb > 3000 THEN 'Low satisfaction'
+            WHEN rb >= mb THEN 'Lapsed / inactive' ELSE 'Low historical value' END AS primary_driver,
+       {ratio('''360 * CAST(coalesce(churn_probability * 10000, is_churned * 10000) AS BIGINT) + 360 * (10000 - mb)
+              + 5000 * least(coalesce(days_since_last_order, 0), 360)''', '90000', 1)} AS urgency_score
+FROM (SELECT *, CAST(round(coalesce(pct_late_deliveries, 0) * 10000) AS BIGINT) AS db,
+             coalesce(10000 - CAST(avg_review_score * 100 AS BIGINT) * 20, 5000) AS sb,
+             coalesce(10000 - (recency_score - 1) * 2500, 5000) AS rb,
+             coalesce(10000 - (monetary_score - 1) * 2500, 5000) AS mb
+      FROM g_health WHERE is_churned = 1 OR churn_probability > 0.4)""")
+
+
+def mean(value: str, digits: int, scale: int = 2) -> str:
+    """Average of a column with at most ``scale`` digits, in integer arithmetic."""
+    whole = f"CAST(round(({value}) * {10 ** scale}) AS HUGEINT)"
+    return ratio(f"sum({whole})", f"count({value}) * {10 ** scale}", digits)
+
+
+def pct(part: str, whole: str, digits: int = 2) -> str:
+    """Percent of two money or count columns."""
+    return f"coalesce({ratio(cents(part) + ' * 100', cents(whole), digits)}, 0)"
+
+
+table("g_geo", f"""
+SELECT s.*, {pct('total_gmv', 'sum(total_gmv) OVER ()')} AS pct_of_total_gmv,
+       {pct('customer_count', 'sum(customer_count) OVER ()')} AS pct_of_total_customers,
+       CASE WHEN total_gmv / sum(total_gmv) OVER () < 0.02 THEN 'Other' ELSE customer_state END AS dashboard_state_label
+FROM (SELECT coalesce(customer_state, 'UNKNOWN') AS customer_state, count(*) AS customer_count, sum(total_gmv) AS total_gmv,
+             {mean('avg_delivery_delta_days', 2)} AS avg_delivery_delta_days,
+             {mean('pct_late_deliveries * 100', 2)} AS pct_late_deliveries,
+             {ratio('sum(is_churned) * 100', 'count(*)', 2)} AS churn_rate_pct,
+             {mean('customer_health_score', 2)} AS avg_health_score, {mean('avg_review_score', 2)} AS avg_review_score
+      FROM g_360 GROUP BY 1) s""")
+
+table("g_sent", """
+SELECT review_id, order_id, customer_unique_id, review_score, review_comment_message, review_creation_date, compound_score,
+       CASE WHEN compound_score >= 0.05 THEN 'positive' WHEN compound_score <= -0.05 THEN 'negative'
+            WHEN compound_score IS NOT NULL THEN 'neutral' END AS sentiment_label
+FROM (SELECT *, CASE WHEN review_comment_message IS NOT NULL THEN
+               CAST(CAST((CAST(substr(review_id, 2) AS BIGINT) * 29) % 2001 - 1000 AS DECIMAL(10,4)) / 1000 AS DECIMAL(6,4)) END
+               AS compound_score FROM s_reviews)""")

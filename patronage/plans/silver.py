@@ -61,7 +61,7 @@ def dim_review(reviews: DataFrame, orders: DataFrame, customers: DataFrame) -> D
     """One row per review id: the latest, on a tie the lowest order id. Scores outside 1..5 are dropped."""
     people = orders.select("order_id", "customer_id").join(
         customers.select("customer_id", "customer_unique_id"), "customer_id").select("order_id", "customer_unique_id")
-    known = lookup_join(reviews.where(F.col("review_score").between(1, 5)), people, "order_id", "inner")
+    known = reviews.where(F.col("review_score").between(1, 5)).join(people, "order_id")
     one = keep_first(known, ["review_id"], [F.col("review_creation_date").desc(), F.col("order_id").asc()])
     message = fx.blank_to_null("review_comment_message")
     return one.select(

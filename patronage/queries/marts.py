@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as fx
-from ..operators import history, rules
+from ..operators import history
+from ..operators.rules import with_segment
 from ..oracle import cents, ratio
 from ..operators.ranking import bounded_median
 from ..plans import gold, silver
@@ -59,7 +60,7 @@ def features(t: SampleTables, of: DataFrame) -> DataFrame:
 
 
 def segmented(of: DataFrame) -> DataFrame:
-    return rules.with_segment(gold.rfm_features(of))
+    return with_segment(gold.rfm_features(of))
 
 
 PROFILE = ("customer_unique_id:s customer_state:s customer_city:s total_orders:i total_gmv:d avg_order_value:d "

@@ -20,6 +20,22 @@ FIRST_RUN = "1998-01-01"
 SECOND_RUN = "2000-01-01"
 ML_CUTOFF = "2001-01-01"
 
+# column types of the sample files, given so that no job is spent on reading footers
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 # status letter -> status; type without a translation
 STATUS = {"F": "delivered", "P": "shipped", "O": "canceled"}
 UNTRANSLATED_TYPE = "PROMO"
@@ -47,7 +63,7 @@ class SampleTables:
     path: str
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}.parquet")
 
     @cached_property
     def customers(self) -> DataFrame:
