@@ -104,7 +104,7 @@ def _shifted(local: DataFrame, group: list[str], order: list[str], amount: str |
               .withColumn("rank", F.coalesce(F.col("_run_start"), ahead + F.col("_rank")))
               .withColumn("ties", F.coalesce("_run_ties", "_ties")))
     if amount:
-        result = result.withColumn("running", F.col("_running") + F.col("_sum_before"))
+        result = result.withColumn("running", F.col("_running") + F.coalesce(F.col("_sum_before"), F.lit(0)))
     kept = [c for c in local.columns if c not in ("_part", "_row", "_rank", "_ties", "_running")]
     return result.select(*kept, "row", "rank", "ties", *(["running"] if amount else []))
 

@@ -8,7 +8,7 @@ import re
 def ratio(numerator: str, denominator: str, digits: int) -> str:
     """Integer numerator / integer denominator, rounded half away from zero, as DOUBLE."""
     n, d, p = f"CAST({numerator} AS HUGEINT)", f"CAST({denominator} AS HUGEINT)", 10 ** digits
-    return (f"(CASE WHEN {d} = 0 THEN NULL ELSE CAST(sign({n}) * ((2 * abs({n}) * {p} + abs({d})) // (2 * abs({d})))"
+    return (f"(CASE WHEN {d} = 0 THEN NULL ELSE CAST(sign({n}) * sign({d}) * ((2 * abs({n}) * {p} + abs({d})) // (2 * abs({d})))"
             f" AS DOUBLE) / {p}::DOUBLE END)")
 
 
@@ -364,3 +364,52 @@ SELECT review_id, order_id, customer_unique_id, review_score, review_comment_mes
 FROM (SELECT *, CASE WHEN review_comment_message IS NOT NULL THEN
                CAST(CAST((CAST(substr(review_id, 2) AS BIGINT) * 29) % 2001 - 1000 AS DECIMAL(10,4)) / 1000 AS DECIMAL(6,4)) END
                AS compound_score FROM s_reviews)""")
+
+
+# -- texts ---------------------------------------------------------------------
+
+def cleaned(text: str) -> str:
+    """The cleaning steps; without back references each repeated mark and letter is its own step."""
+    def replace(value: str, pattern: str, kept: str) -> str:
+        return f"regexp_replace({value}, '{pattern}', '{kept}', 'g')"
+
+    value = f"nfc_normalize({text})"
+    for pattern in (r"https?://\S+|www\.\S+", r"<[^>]+>", r"&[a-zA-Z]+;|&#\d+;", r"[\r\n\t]+",
+                    r"(?i)r\$\s?\d{1,3}(?:\.\d{3})*(?:,\d{2})?", r"\b\d{6,}\b"):
+        value = replace(value, pattern, " ")
+    for mark, pattern in (("!", "!"), ("?", r"\?"), (".", r"\.")):
+        value = replace(value, pattern + "{3,}", mark * 2)
+    for code in [*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("À"), ord("ÿ") + 1)]:
+        value = replace(value, chr(code) + "{4,}", chr(code) * 3)
+    value = replace(value, r"\s{2,}", " ")
+    return f"nullif({replace(value, '^\\s+|\\s+$', '')}, '')"
+
+
+def compound(source: str, key: str, text: str, lexicon: dict[str, str], negators: tuple[str, ...],
+             boosters: dict[str, str]) -> str:
+    """Compound score per text of ``source``, tokens in order, the three words before each looked up."""
+    words = "VALUES " + ", ".join(f"('{w}', CAST({v} AS DECIMAL(8,6)))" for w, v in lexicon.items())
+    terms = ", ".join(f"'{n}'" for n in negators)
+
+    def boost(word: str) -> str:
+        return "CASE " + " ".join(f"WHEN {word} = '{t}' THEN CAST({v} AS DECIMAL(8,6))" for t, v in boosters.items()) + " ELSE 0 END"
+
+    strength = " + ".join(f"CAST(({boost(f'w{d}')}) * CAST({f} AS DECIMAL(3,2)) AS DECIMAL(12,8))"
+                          for d, f in ((1, 1), (2, 0.95), (3, 0.9)))
+    turns = " + ".join(f"CASE WHEN w{d} IN ({terms}) THEN 1 ELSE 0 END" for d in (1, 2, 3))
+    lags = ", ".join(f"lag(word, {d}) OVER (PARTITION BY {key} ORDER BY place) AS w{d}" for d in (1, 2, 3))
+    return f"""(SELECT {key}, round(t / sqrt(t * t + 15), 4) AS compound_score FROM (
+  SELECT {key}, CAST(s + sign(s) * emphasis AS DOUBLE) AS t FROM (
+    SELECT {key}, max(emphasis) AS emphasis, coalesce(sum(CAST(CAST(valence + CASE WHEN valence < 0 THEN -1 ELSE 1 END * ({strength})
+             AS DECIMAL(12,8)) * CASE ({turns}) WHEN 0 THEN 1 WHEN 1 THEN -0.74 WHEN 2 THEN 0.5476 ELSE -0.405224 END
+             AS DECIMAL(30,12))), 0) AS s
+    FROM (SELECT {key}, emphasis, word, {lags} FROM (
+            SELECT {key}, emphasis, place, regexp_replace(raw, '^[[:punct:]]+|[[:punct:]]+$', '', 'g') AS word FROM (
+              SELECT {key}, CAST(least(len(regexp_extract_all({text}, '!')), 4) * 0.292
+                       + CASE WHEN len(regexp_extract_all({text}, '[?]')) <= 1 THEN 0
+                              WHEN len(regexp_extract_all({text}, '[?]')) <= 3 THEN len(regexp_extract_all({text}, '[?]')) * 0.18
+                              ELSE 0.96 END AS DECIMAL(8,6)) AS emphasis,
+                     unnest(string_split_regex(lower({text}), '\\s+')) AS raw,
+                     generate_subscripts(string_split_regex(lower({text}), '\\s+'), 1) AS place
+              FROM {source} WHERE {text} IS NOT NULL)))
+    LEFT JOIN ({words}) lexicon(word, valence) USING (word) GROUP BY 1)))"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import dashboards, marts  # noqa: F401
+from . import checks, dashboards, exploration, marts, texts  # noqa: F401
 from .registry import QUERIES, oracle_sql, queries
 
 __all__ = ["QUERIES", "oracle_sql", "queries"]

@@ -33,6 +33,7 @@ SCHEMAS = {
                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
                 "l_shipdate timestamp_ntz",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
@@ -57,6 +58,13 @@ def _price() -> Column:
     return F.col("l_extendedprice").cast("decimal(12,2)")
 
 
+# stand-in lexicon of words that are frequent in the sample texts
+LEXICON = {"the": "0.5", "der": "-0.4", "die": "0.3", "des": "-0.6", "les": "0.2", "rewh": "1.9", "orre": "-2.1",
+           "ononst": "2.4", "hehely": "-1.5", "ing": "1.1"}
+SAMPLE_NEGATORS = ("and", "und")
+SAMPLE_BOOSTERS = {"that": "0.293", "la": "0.293", "que": "-0.293"}
+
+
 @dataclass(frozen=True)
 class SampleTables:
     spark: SparkSession
@@ -221,6 +229,10 @@ class SampleTables:
             _plus("DAY", F.lit(37) + key % 10).alias("review_answer_timestamp"),
         ]
 
+    @cached_property
+    def lexicon(self) -> DataFrame:
+        return self.spark.createDataFrame(list(LEXICON.items()), "word string, valence string")
+
     # -- stand-ins for model output ------------------------------------------
 
     def customer_scores(self) -> DataFrame:
