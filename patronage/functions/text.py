@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .scalars import as_column
 
@@ -25,15 +26,14 @@ REPEATED_LETTERS = (r"([a-zA-ZÀ-ÿ])\1{3,}", "$1$1$1")
 MAY_NEED_COMPOSING = r"[^\x{0}-\x{2FF}]"
 
 
-@F.pandas_udf("string")
-def _compose(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
-
-
 def composed(text) -> Column:
     """Unicode NFC. Only texts with characters that could change leave the JVM."""
+    def compose(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+
     text = as_column(text)
-    return F.coalesce(_compose(F.when(text.rlike(MAY_NEED_COMPOSING), text)), text)
+    changed = F.pandas_udf(compose, T.StringType())(F.when(text.rlike(MAY_NEED_COMPOSING), text))
+    return F.coalesce(changed, text)
 
 
 def cleaned(text, compose: bool = True) -> Column:
