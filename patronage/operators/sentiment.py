@@ -51,8 +51,8 @@ def emphasis(text) -> Column:
 def token_scores(texts: DataFrame, key: str, text: str, lexicon: DataFrame, negators: Sequence[str],
                  boosters: Mapping[str, str]) -> DataFrame:
     """One row per token with its words before and, where the lexicon knows it, its valence."""
-    words = F.transform(F.split(F.lower(F.col(text)), r"\s+"),
-                        lambda w: F.regexp_replace(w, r"^\p{Punct}+|\p{Punct}+$", ""))
+    # marks around words go in one pass over the text; blanks are single after cleaning
+    words = F.split(F.regexp_replace(F.lower(F.col(text)), r"(?<!\S)\p{Punct}+|\p{Punct}+(?!\S)", ""), r"\s")
     size = F.size("_words")
     shifted = [F.concat(F.array_repeat(F.lit(None).cast("string"), d),
                         F.slice("_words", F.lit(1), F.greatest(size - d, F.lit(0)))).alias(f"w{d}")

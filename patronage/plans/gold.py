@@ -199,6 +199,45 @@ def clv_features(profile: DataFrame, diversity: DataFrame, payment: DataFrame, a
         F.coalesce("actual_gmv_post_cutoff", F.lit(0)).cast("decimal(14,2)").alias("actual_gmv_post_cutoff"))
 
 
+def pre_cutoff_features(orders: DataFrame, items: DataFrame, products: DataFrame, cutoff: str) -> DataFrame:
+    """Customer features from orders strictly before the cutoff, so nothing of the target leaks in."""
+    earlier = orders.where(F.col("order_purchase_timestamp") < F.lit(cutoff).cast("timestamp_ntz"))
+    people = customer_orders(earlier)
+    values = customer_values(order_values(items, earlier)).select(PERSON, "total_gmv")
+    joined = (people.join(values, PERSON, "left")
+              .join(category_diversity(items, products, earlier), PERSON, "left"))
+    gmv = F.coalesce("total_gmv", F.lit(0)).cast("decimal(14,2)")
+    n, tenure = F.col("total_orders"), fx.day_diff("first_order_date", "last_order_date")
+    whole = tenure.cast("decimal(12,0)")
+    per_month = n.cast("decimal(12,0)") * DAYS_PER_MONTH / F.nullif(whole, F.lit(0).cast("decimal(12,0)"))
+    return joined.select(
+        PERSON, n.alias("total_orders_pre_cutoff"), gmv.alias("total_gmv_pre_cutoff"),
+        fx.ratio(gmv, n, 2, 12).alias("avg_order_value_pre_cutoff"),
+        tenure.alias("tenure_days_pre_cutoff"),
+        F.datediff(F.lit(cutoff).cast("date"), F.col("last_order_date")).alias("days_since_last_order_pre_cutoff"),
+        F.col("avg_delivery_delta_days").alias("avg_delivery_delta"), F.col("pct_late_deliveries").alias("pct_late"),
+        F.coalesce("total_categories_purchased", F.lit(0)).alias("total_categories_purchased"),
+        (whole / F.lit(DAYS_PER_MONTH).cast("decimal(2,0)")).cast("decimal(10,4)").alias("tenure_months_pre_cutoff"),
+        F.when(tenure > 0, per_month).cast("decimal(10,4)").alias("order_frequency_per_month_pre_cutoff"))
+
+
+def clv_training_frame(features: DataFrame, clv: DataFrame) -> DataFrame:
+    """Pre-cutoff features with the static attributes, the target and the two labels."""
+    static = clv.select(PERSON, "customer_state", "preferred_payment_type", "actual_gmv_post_cutoff")
+    return features.join(static, PERSON).withColumns({
+        "is_single_order": fx.single_flag("total_orders_pre_cutoff"),
+        "repurchased": fx.positive_flag("actual_gmv_post_cutoff")})
+
+
+def churn_training_frame(profile: DataFrame, clv: DataFrame) -> DataFrame:
+    """Profile columns and the rule label; the column the label is made from and the health score stay out."""
+    kept = [PERSON, "customer_state", "is_churned", "total_orders", "total_gmv", "total_freight_paid", "avg_order_value",
+            "avg_review_score", "pct_negative_reviews", "avg_sentiment_score", "avg_delivery_delta_days",
+            "pct_late_deliveries"]
+    return profile.select(*kept).join(
+        clv.select(PERSON, "total_categories_purchased", "preferred_payment_type"), PERSON, "left")
+
+
 def sentiment_skeleton(reviews: DataFrame) -> DataFrame:
     return reviews.select("review_id", "order_id", PERSON, "review_score", "review_comment_message",
                           "review_creation_date", F.lit(None).cast("decimal(6,4)").alias("compound_score"),
