@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,13 +17,17 @@ NA_TOKENS = ("", "NULL", "null", "None", "NaN", "nan")
 
 @dataclass(frozen=True)
 class FileSpec:
-    """One raw file: its columns in order, and which of them are timestamps or numbers."""
+    """One raw file and its columns in order.
+
+    Texts with line breaks need ``multi_line``; such a file cannot be split, so deliver a large one in parts.
+    """
 
     table: str
     filename: str
     columns: Mapping[str, str]
     expected_rows: int | None = None
-    depends_on: tuple[str, ...] = field(default=())
+    depends_on: tuple[str, ...] = ()
+    multi_line: bool = False
 
 
 # fixed values: raw tables, their files and columns, in load order
@@ -57,7 +62,7 @@ RAW_FILES = {spec.table: spec for spec in (
     FileSpec("order_reviews", "order_reviews.csv", {
         "review_id": "string", "order_id": "string", "review_score": "double", "review_comment_title": "string",
         "review_comment_message": "string", "review_creation_date": "timestamp_ntz",
-        "review_answer_timestamp": "timestamp_ntz"}, 99_224, ("orders",)),
+        "review_answer_timestamp": "timestamp_ntz"}, 99_224, ("orders",), multi_line=True),
 )}
 
 
@@ -87,10 +92,10 @@ def typed(raw: DataFrame, spec: FileSpec) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, folder: str, spec: FileSpec, run_timestamp: str | None = None) -> DataFrame:
-    """One raw CSV with types and audit columns. Texts may hold line breaks and quotes."""
+    """One raw CSV with types and audit columns."""
     text_schema = T.StructType([T.StructField(name, T.StringType()) for name in spec.columns])
     raw = (spark.read.schema(text_schema)
-           .csv(f"{folder.rstrip('/')}/{spec.filename}", header=True, mode="PERMISSIVE", multiLine=True,
+           .csv(f"{folder.rstrip('/')}/{spec.filename}", header=True, mode="PERMISSIVE", multiLine=spec.multi_line,
                 quote='"', escape='"', encoding="UTF-8", nullValue="")
            .select("*", F.col("_metadata.file_name").alias("source_file")))
     return stamped(typed(raw, spec), run_timestamp)
@@ -113,8 +118,8 @@ def stored_rows(spark: SparkSession, path: str) -> int | None:
     """Rows of a stored table, None when there is none yet."""
     try:
         return spark.read.parquet(path).count()
-    except Exception as missing:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(missing) or "UNABLE_TO_INFER_SCHEMA" in str(missing):
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -146,8 +151,15 @@ def append_rows(df: DataFrame, path: str) -> None:
 def load_all(spark: SparkSession, folder: str, target: str, run_id: str, force: bool = False,
              specs: Mapping[str, FileSpec] = RAW_FILES) -> DataFrame:
     """Load every raw file and append one manifest row per table. A failed table does not stop the others."""
-    entries = [reload_table(read_raw(spark, folder, spec), f"{target}/{name}", name, spec.expected_rows, force)
-               for name, spec in specs.items()]
+    entries = []
+    for name, spec in specs.items():
+        try:
+            rows = read_raw(spark, folder, spec)
+        except AnalysisException as missing:
+            entries.append({"table_name": name, "status": "failed", "rows_loaded": 0, "expected_rows": spec.expected_rows,
+                            "elapsed_seconds": 0.0, "error": str(missing)[:500]})
+        else:
+            entries.append(reload_table(rows, f"{target}/{name}", name, spec.expected_rows, force))
     names = [f.split()[0] for f in MANIFEST_SCHEMA.split(", ")][1:]
     manifest = spark.createDataFrame([(run_id, *[e[n] for n in names]) for e in entries], MANIFEST_SCHEMA)
     append_rows(manifest, f"{target}/load_manifest")
