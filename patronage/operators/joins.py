@@ -9,9 +9,22 @@ HOT_SHARE = 64
 SPREAD = 64
 
 
-def lookup_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "left") -> DataFrame:
+SMALL_ROWS = 200_000
+
+
+def word_join(rows: DataFrame, words: DataFrame, on: str) -> DataFrame:
+    """Left join to a word list: broadcast after counting that it is small, otherwise with hot words taken out."""
+    if words.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        return rows.join(F.broadcast(words), on, "left")
+    return lookup_join(rows, words, on)
+
+
+def lookup_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "left", keys: DataFrame | None = None) -> DataFrame:
     """Join facts to a table that is unique on ``on``, with hot keys taken out of the shuffle.
 
+    Hot keys are counted in ``keys``, by default the facts; when the facts are
+    themselves the result of joins, give the table the key column came from.
+
     A key is hot when it has at least 1/64 of all fact rows, so there are at most
     64 of them: their dim rows are broadcast. All other rows meet in an ordinary
     join, for which Spark picks broadcast or sort-merge from the size of ``dim``.
@@ -19,7 +32,7 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "left") ->
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     added = [c for c in dim.columns if c != on]
-    counts = facts.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    counts = (facts if keys is None else keys).where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
     size = counts.agg(F.sum("_n").alias("_size"))
     hot_keys = (counts.crossJoin(F.broadcast(size)).where(F.col("_n") * HOT_SHARE >= F.col("_size"))
                 .select(F.col(on).alias("_hot_key")))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.scalars import as_column, sentiment_label
 from ..functions.text import cleaned
 from ..plans.views import mean_of
+from ..session import spread
+from .joins import word_join
 
 # published constants of valence-based scoring
 REACH = 3
@@ -41,8 +43,8 @@ def _boost(word: Column, boosters: Mapping[str, str]) -> Column:
 def emphasis(text) -> Column:
     """Extra weight of exclamation and question marks."""
     text = as_column(text)
-    marks = F.least(F.regexp_count(text, F.lit("!")), F.lit(MOST_EXCLAMATIONS))
-    questions = F.regexp_count(text, F.lit(r"\?"))
+    count = lambda mark: F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+    marks, questions = F.least(count("!"), F.lit(MOST_EXCLAMATIONS)), count("?")
     asked = (F.when(questions <= 1, _decimal("0")).when(questions <= 3, questions * _decimal(QUESTION))
              .otherwise(_decimal(MANY_QUESTIONS)))
     return (marks * _decimal(EXCLAMATION) + asked).cast("decimal(8,6)")
@@ -60,7 +62,7 @@ def token_scores(texts: DataFrame, key: str, text: str, lexicon: DataFrame, nega
     tokens = (texts.select(key, emphasis(text).alias("emphasis"), words.alias("_words"))
               .select(key, "emphasis", F.explode(F.arrays_zip(F.col("_words").alias("word"), *shifted)).alias("_t"))
               .select(key, "emphasis", "_t.word", *[f"_t.w{d}" for d in range(1, REACH + 1)]))
-    known = tokens.join(lexicon.select("word", F.col("valence").cast("decimal(8,6)").alias("valence")), "word", "left")
+    known = word_join(tokens, lexicon.select("word", F.col("valence").cast("decimal(8,6)").alias("valence")), "word")
     strength = _decimal("0").cast("decimal(12,8)")
     turns = F.lit(0)
     for distance in range(1, REACH + 1):
@@ -70,7 +72,8 @@ def token_scores(texts: DataFrame, key: str, text: str, lexicon: DataFrame, nega
     sign = F.when(F.col("valence") < 0, -1).otherwise(1)
     factor = F.coalesce(*[F.when(turns == n, F.lit(str(round((-0.74) ** n, 6))).cast("decimal(8,6)")) for n in range(REACH + 1)])
     value = (F.col("valence") + sign * strength).cast("decimal(12,8)")
-    return known.select(key, "emphasis", (value * factor).cast("decimal(18,12)").alias("score"))
+    score = F.when(F.col("valence").isNotNull(), (value * factor).cast("decimal(18,12)"))
+    return known.select(key, "emphasis", score.alias("score"))
 
 
 def compound_scores(texts: DataFrame, key: str, text: str, lexicon: DataFrame, negators: Sequence[str] = NEGATORS,
@@ -80,7 +83,8 @@ def compound_scores(texts: DataFrame, key: str, text: str, lexicon: DataFrame, n
     Tokens are joined to the lexicon where the text is read and summed per text
     before the shuffle, so what moves is one row per text.
     """
-    scores = token_scores(texts.where(F.col(text).isNotNull()), key, text, lexicon, negators, boosters)
+    # no filter on the text: it would be cleaned once more for the test, and a NULL text has no tokens anyway
+    scores = token_scores(texts, key, text, lexicon, negators, boosters)
     summed = scores.groupBy(key).agg(F.coalesce(F.sum("score"), F.lit(0)).cast("decimal(30,12)").alias("s"),
                                      F.max("emphasis").alias("emphasis"))
     total = (F.col("s") + F.signum(F.col("s")).cast("decimal(2,0)") * F.col("emphasis")).cast("double")
@@ -95,7 +99,8 @@ def score_reviews(scores: DataFrame, lexicon: DataFrame, force: bool = False, ne
     todo = scores.where(F.col("review_comment_message").isNotNull())
     if not force:
         todo = todo.where(F.col("compound_score").isNull())
-    texts = todo.select("review_id", cleaned("review_comment_message").alias("text"))
+    texts = spread(todo.select("review_id", "review_comment_message")).select(
+        "review_id", cleaned("review_comment_message").alias("text"))
     return compound_scores(texts, "review_id", "text", lexicon, negators, boosters)
 
 

@@ -113,8 +113,8 @@ def unresolved_orders(orders: DataFrame, facts: DataFrame) -> DataFrame:
 def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
     """Order lines with the customer and the product and seller keys; lines of unknown orders drop out."""
     rows = lookup_join(items, orders.select("order_id", "customer_unique_id"), "order_id", "inner")
-    rows = lookup_join(rows, products.select("product_id", "product_sk"), "product_id")
-    rows = lookup_join(rows, sellers.select("seller_id", "seller_sk"), "seller_id")
+    rows = lookup_join(rows, products.select("product_id", "product_sk"), "product_id", keys=items)
+    rows = lookup_join(rows, sellers.select("seller_id", "seller_sk"), "seller_id", keys=items)
     rows = rows.withColumn("gmv", fx.item_gmv()).withColumn("freight_ratio", fx.freight_ratio())
     if "order_item_id" in items.columns:
         rows = rows.withColumn("item_sk", F.xxhash64("order_id", "order_item_id"))

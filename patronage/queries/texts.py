@@ -10,18 +10,19 @@ from ..operators import sentiment
 from ..oracle import cleaned as cleaned_sql
 from ..oracle import compound, mean
 from ..plans import gold, silver
+from ..session import spread
 from ..sources.sample_tables import LEXICON, SAMPLE_BOOSTERS, SAMPLE_NEGATORS, SampleTables
 from .registry import register
 
 register("cleaned_documents", "doc_id:i cleaned:s", f"SELECT doc_id, {cleaned_sql('text')} AS cleaned FROM documents")(
-    lambda t: t.read("documents").select("doc_id", cleaned("text").alias("cleaned")))
+    lambda t: spread(t.read("documents")).select("doc_id", cleaned("text").alias("cleaned")))
 
 register("cleaned_pages", "page_id:i cleaned:s", f"SELECT page_id, {cleaned_sql('html')} AS cleaned FROM pages")(
-    lambda t: t.read("pages").select("page_id", cleaned("html").alias("cleaned")))
+    lambda t: spread(t.read("pages")).select("page_id", cleaned("html").alias("cleaned")))
 
 register("cleaned_conversations", "conv_id:i turn:i cleaned:s",
          f"SELECT conv_id, turn, {cleaned_sql('text')} AS cleaned FROM conversations")(
-    lambda t: t.read("conversations").select("conv_id", "turn", cleaned("text").alias("cleaned")))
+    lambda t: spread(t.read("conversations")).select("conv_id", "turn", cleaned("text").alias("cleaned")))
 
 LABEL_SQL = """CASE WHEN compound_score >= 0.05 THEN 'positive' WHEN compound_score <= -0.05 THEN 'negative' ELSE 'neutral' END"""
 DOC_SCORES_SQL = compound(f"(SELECT doc_id, {cleaned_sql('text')} AS body FROM documents)", "doc_id", "body", LEXICON,
@@ -29,7 +30,7 @@ DOC_SCORES_SQL = compound(f"(SELECT doc_id, {cleaned_sql('text')} AS body FROM d
 
 register("document_sentiment", "doc_id:i compound_score:d sentiment_label:s",
          f"SELECT *, {LABEL_SQL} AS sentiment_label FROM {DOC_SCORES_SQL}")(
-    lambda t: sentiment.compound_scores(t.read("documents").select("doc_id", cleaned("text").alias("body")), "doc_id", "body",
+    lambda t: sentiment.compound_scores(spread(t.read("documents")).select("doc_id", cleaned("text").alias("body")), "doc_id", "body",
                                         t.lexicon, SAMPLE_NEGATORS, SAMPLE_BOOSTERS))
 
 

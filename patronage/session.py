@@ -64,3 +64,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute rows whose source has fewer splits than there are cores, before work that is heavy per row.
+
+    A table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
