@@ -148,14 +148,17 @@ def _kmeans(cells: DataFrame, k: int, seed: int):
     return KMeans(k=k, seed=seed, weightCol="weight", featuresCol="features", predictionCol="km_cluster", maxIter=50).fit(cells)
 
 
+def _search(cells: DataFrame, candidates: Sequence[int], seed: int) -> list[tuple]:
+    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="km_cluster", weightCol="weight")
+    models = [(k, _kmeans(cells, k, seed)) for k in candidates]
+    return [(k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(cells))), model)
+            for k, model in models]
+
+
 def cluster_search(cells: DataFrame, candidates: Sequence[int] = range(3, 8), seed: int = SEED) -> list[tuple[int, float, float]]:
     """(k, inertia, silhouette) per candidate. Weighted cells give the figures of the full table."""
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="km_cluster", weightCol="weight")
     cells = cells.cache()
-    results = []
-    for k in candidates:
-        model = _kmeans(cells, k, seed)
-        results.append((k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(cells)))))
+    results = [found[:3] for found in _search(cells, candidates, seed)]
     cells.unpersist()
     return results
 
@@ -163,9 +166,12 @@ def cluster_search(cells: DataFrame, candidates: Sequence[int] = range(3, 8), se
 def segment_clusters(rfm: DataFrame, forced_k: int | None = None, candidates: Sequence[int] = range(3, 8),
                      seed: int = SEED) -> DataFrame:
     """``km_cluster`` per customer; k is the candidate with the best silhouette unless forced."""
-    cells = score_cells(rfm)
-    k = forced_k or max(cluster_search(cells, candidates, seed), key=lambda r: (r[2], -r[0]))[0]
-    labelled = _kmeans(cells, k, seed).transform(cells).select(*SCORES, "km_cluster")
+    cells = score_cells(rfm).cache()
+    if forced_k:
+        model = _kmeans(cells, forced_k, seed)
+    else:
+        model = max(_search(cells, candidates, seed), key=lambda found: (found[2], -found[0]))[3]
+    labelled = model.transform(cells).select(*SCORES, "km_cluster")
     return rfm.join(F.broadcast(labelled), list(SCORES), "left")
 
 
