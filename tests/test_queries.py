@@ -5,9 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import DATA
+from patronage import queries as registered
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-SQL = entry.oracle_sql()
+SQL = registered.oracle_sql()
 FITTED = {"clv_predictions", "clv_metrics", "churn_predictions", "churn_metrics", "churn_importances", "next_purchase",
           "survival_concordance", "segment_clusters", "cluster_search"}
 
@@ -26,7 +27,7 @@ def ordered(rows):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows_as_sql(spark, duck, name):
-    result = entry.queries()[name](spark, DATA)
+    result = registered.queries()[name](spark, DATA)
     columns = sorted(result.columns)
     expected = duck.execute(SQL[name])
     places = [[c[0] for c in expected.description].index(c) for c in columns]
@@ -35,7 +36,7 @@ def test_same_rows_as_sql(spark, duck, name):
 
 
 def test_only_fitted_models_have_no_sql():
-    assert set(entry.queries()) - set(SQL) == FITTED
+    assert set(registered.queries()) - set(SQL) == FITTED
 
 
 def test_entry_has_rows(spark):
