@@ -19,7 +19,7 @@ rows; the time for a very long word grows with its length times the longest toke
 from __future__ import annotations
 
 import json
-import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +28,10 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ship, with_columns
-from .tokens import read_ranks
+from .common import ship
+from .tokens import read_ranks, segments
 
 BUCKETS = 1 << 16
 #: piece i is the character with this code point plus i; beyond the basic plane every code point is a character
@@ -72,19 +73,40 @@ def merge_literal(ranks: dict[bytes, int]) -> Column:
                        "array<map<string,struct<r:int,f:string,t:string>>>")
 
 
-def encoded_word(word: Column, table: Column, longest: int) -> Column:
+def reach_literal(ranks: dict[bytes, int]) -> Column:
+    """array<int>: by the hash of three characters, the longest token that begins with them, at least 2."""
+    reach = [2] * BUCKETS
+    for token in ranks:
+        if len(token) > 2:
+            at = xxhash.xxh64_intdigest("".join(character(ranks[token[i:i + 1]]) for i in range(3)).encode(), 42) % BUCKETS
+            reach[at] = max(reach[at], len(token))
+    return F.from_json(F.lit(json.dumps(reach, separators=(",", ":"))), "array<int>")
+
+
+def encoded_word(word: Column, table: Column, reach: Column) -> Column:
     """The pieces of one word, given and returned as characters."""
-    def merge_of(piece: Column) -> Column:
+    def bucket(piece: Column) -> Column:
         # the remainder of a power of two, as the buckets were dealt
-        return F.element_at(F.get(table, F.xxhash64(piece).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), piece)
+        return F.xxhash64(piece).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+    def merge_of(piece: Column) -> Column:
+        return F.element_at(F.get(table, bucket(piece)), piece)
 
     n = F.length(word)
     needed = F.flatten(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.transform(
-        F.sequence(F.lit(2), F.least(F.lit(longest), n - i + 1)), lambda size: merge_of(F.substring(word, i, size)))))
+        F.sequence(F.lit(2), F.least(F.get(reach, bucket(F.substring(word, i, F.lit(3)))), n - i + 1)), lambda size: merge_of(F.substring(word, i, size)))))
     folded = F.aggregate(F.sort_array(F.array_compact(needed)), word, lambda pieces, m: F.replace(pieces, m["f"], m["t"]))
     return F.when(n < 2, word).otherwise(folded)
 
 
+class Numbers(dict):
+    """A number for every key, in the order in which keys are first asked for."""
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        return number
+
+
 BLOCK = "words array<string>, word_of binary, segment_ends binary, segment_of binary, doc_ends binary, doc_ids array<long>"
 
 
@@ -92,41 +114,34 @@ def blocks(docs: DataFrame, pattern: str, pieces: dict[int, str], block_bytes: i
     """One row per block of texts: its distinct words as characters, the words of each distinct segment, the segments of each
     document. ``pieces`` gives the character of every byte, by its code.
 
-    Segments are cut before blanks between characters that are not white space, where every match starts anew.
+    Segments are cut where every match starts anew.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         match = regex.compile(pattern)
-        cut, unsafe = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s |^ | $| \s")
-        ids, counts, refs, leads, parts, held = [], [], [], {}, {}, 0
+        ids, counts, refs, parts, held = [], [], [], Numbers(), 0
 
         def out() -> pa.RecordBatch:
-            nonlocal ids, counts, refs, leads, parts, held
-            names = [""] * (len(leads) + len(parts))
-            for text, i in leads.items():
-                names[i] = text
-            for text, i in parts.items():
-                names[i] = " " + text
-            words: dict[str, int] = {}
-            word_of, ends = [], []
-            for name in names:
-                word_of += [words.setdefault(w, len(words)) for w in match.findall(name)]
+            nonlocal ids, counts, refs, parts, held
+            words: dict[str, int] = Numbers()
+            word_of, ends = array("i"), array("i")
+            for part in parts:  # the first segment of a text stands in a tuple and has no blank in front
+                word_of.extend([words[w] for w in match.findall(part[0] if type(part) is tuple else " " + part)])
                 ends.append(len(word_of))
             row = [pa.array([[w.encode().decode("latin-1").translate(pieces) for w in words]], pa.list_(pa.string())), *(
-                pa.array([np.asarray(x, np.int64).astype(np.int32).tobytes()], pa.binary()) for x in (word_of, ends)),
+                pa.array([x.tobytes()], pa.binary()) for x in (word_of, ends)),
                 pa.array([np.concatenate(refs).tobytes() if refs else b""], pa.binary()),
                 pa.array([np.cumsum(counts, dtype=np.int64).astype(np.int32).tobytes()], pa.binary()), pa.array([ids], pa.list_(pa.int64()))]
-            ids, counts, refs, leads, parts, held = [], [], [], {}, {}, 0
+            ids, counts, refs, parts, held = [], [], [], Numbers(), 0
             return pa.RecordBatch.from_arrays(row, names=[f.split()[0] for f in BLOCK.split(", ")])
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids.append(doc)
                 if text:
-                    found = cut.split(text) if unsafe.search(text) else text.split(" ")
-                    own = [leads.setdefault(found[0], len(leads) + len(parts))]
-                    own += [parts.setdefault(p, len(leads) + len(parts)) for p in found[1:]]
+                    found = segments(text)
+                    own = [parts[found[0],], *map(parts.__getitem__, found[1:])]
                     refs.append(np.array(own, np.int32))
                     counts.append(len(own))
                     held += len(text)
@@ -148,17 +163,17 @@ def laid_out(values: np.ndarray, ends: np.ndarray, refs: np.ndarray) -> tuple[np
     return values[np.repeat(starts - (after - sizes), sizes) + np.arange(after[-1] if after.size else 0)], after
 
 
-def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = 1 << 25) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = 10 << 20, rows_out: int = 64) -> DataFrame:
     """(doc_id, ids array<int>), one row per document."""
     spark = docs.sparkSession
     # else the literal is printed whole wherever the plan is
     spark.conf.set("spark.sql.maxPlanStringLength", "20000")
     ranks = read_ranks(path)
-    table, longest = merge_literal(ranks), max(map(len, ranks))
+    table, reach = merge_literal(ranks), reach_literal(ranks)
     pieces = {b: character(ranks[bytes([b])]) for b in range(256)}
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = blocks(narrow, pattern, pieces, block_bytes).select(
-        F.transform("words", lambda word: encoded_word(word, table, longest)).alias("encoded"),
+        F.transform("words", lambda word: encoded_word(word, table, reach)).alias("encoded"),
         "word_of", "segment_ends", "segment_of", "doc_ends", "doc_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,24 +186,49 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
                 sizes = pc.binary_length(words).to_numpy(zero_copy_only=False) // 4
                 values = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.int32) - FIRST
                 values, word_ends = laid_out(values, np.cumsum(sizes), word_of)
-                at = np.concatenate([[0], word_ends])[segment_ends]
-                values, segment_after = laid_out(values, at, segment_of)
-                doc_after = np.concatenate([[0], segment_after])[doc_ends]
-                doc_ids = batch.column(5).slice(i, 1).flatten()
-                listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], doc_after]).astype(np.int32)), pa.array(values, pa.int32()))
-                for first in range(0, len(listed), 256):
-                    yield pa.RecordBatch.from_arrays([doc_ids.slice(first, 256), listed.slice(first, 256)], names=["doc_id", "ids"])
+                segment_ids = values, np.concatenate([[0], word_ends])[segment_ends]
+                doc_ids, doc_starts = batch.column(5).slice(i, 1).flatten(), np.concatenate([[0], doc_ends])
+                for first in range(0, len(doc_ids), rows_out):  # few documents at a time, to hold few ids
+                    bounds = doc_starts[first:first + rows_out + 1]
+                    found, after = laid_out(*segment_ids, segment_of[bounds[0]:bounds[-1]])
+                    offsets = np.concatenate([[0], after])[bounds - bounds[0]]
+                    listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(found, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([doc_ids.slice(first, rows_out), listed], names=["doc_id", "ids"])
 
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``rows`` with the bytes of ``ids`` in ``out``; NULL ids decode to no bytes, an id beyond the ranks is an error."""
-    def start():
-        pieces = {rank: token for token, rank in read_ranks(path).items()}
-        return lambda lists: [[b"".join(map(pieces.__getitem__, found or ())) for found in lists]]
+def joined_pieces(pieces: list[bytes], column: pa.ListArray) -> pa.Array:
+    """The pieces of each row's ids, joined. Rows are gathered byte by byte in numpy, a batch at a time."""
+    ends = np.cumsum([len(p) for p in pieces])
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    ids = column.values.to_numpy()[offsets[0]:offsets[-1]]
+    if ids.size and (ids.min() < 0 or ids.max() >= len(pieces)):
+        raise ValueError("an id is beyond the ranks")
+    data, after = laid_out(np.frombuffer(b"".join(pieces), np.uint8), ends, ids)
+    places = np.concatenate([[0], after])[offsets - offsets[0]].astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(places), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded", listed: str | None = None) -> DataFrame:
+    """``rows`` with the bytes of ``ids`` in ``out``; NULL ids decode to no bytes, an id beyond the ranks is an error. ``listed``
+    names one more column, for the ids in decimal with a comma after each."""
+    at = rows.columns.index(ids)
+    names = [out, *([listed] if listed else [])]
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(n, T.BinaryType()) for n in names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = read_ranks(path)
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            pieces[rank] = token
+        numbers = [b"%d," % i for i in range(len(pieces))]
+        for batch in batches:
+            column = pc.fill_null(batch.column(at), []) if batch.column(at).null_count else batch.column(at)
+            found = [joined_pieces(p, column) for p in (pieces, numbers)[:len(names)]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[f.name for f in schema.fields])
 
-    return with_columns(rows, [ids], {out: "binary"}, start)
+    return rows.mapInArrow(run, schema)
 
 
 ship(__name__)

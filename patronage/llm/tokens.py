@@ -18,12 +18,27 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+#: white space besides blank and line feed, which texts rarely hold
+ASCII_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+OTHER_SPACES = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+def segments(text: str) -> list[str]:
+    """``text`` cut at each blank between characters that are not white space; the blanks are left out.
+
+    There every match of the pre-tokenising pattern starts anew, as a blank only joins what follows it, so segments can be
+    encoded on their own: the first as it is, the others with a blank in front.
+    """
+    odd = (text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text or any(c in text for c in ASCII_SPACES)
+           or not text.isascii() and any(c in text for c in OTHER_SPACES))
+    return CUT.split(text) if odd else text.split(" ")
+
+
 class Encoder:
     """``encode(text)`` gives the ids as little-endian uint16, or uint32 if the vocabulary needs it.
 
-    A text is cut before each blank whose neighbours are not white space: there every match of the pattern starts anew (a
-    blank only joins what follows it), so the pieces can be encoded on their own and remembered. Texts with blanks beside
-    other white space at some place are cut only at the others.
+    The segments of a text are encoded on their own and remembered.
     """
 
     def __init__(self, path: str, pattern: str, special: dict[str, int] | None = None, memory: int = MEMORY):
@@ -34,8 +49,6 @@ class Encoder:
         self.allowed = set(special or {})
         self.size = max([*ranks.values(), *(special or {}).values()]) + 1
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.cut = re.compile(r"(?<=\S) (?=\S)")
-        self.unsafe = re.compile(r"\s |^ | $| \s")
         self.memory: dict[str, bytes] = {}
         self.limit = memory
 
@@ -45,7 +58,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        parts = self.cut.split(text) if self.unsafe.search(text) else text.split(" ")
+        parts = segments(text)
         known = self.memory
         if len(known) > self.limit:
             known.clear()
