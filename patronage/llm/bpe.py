@@ -34,6 +34,8 @@ from .common import ship
 from .tokens import read_ranks, segments
 
 BUCKETS = 1 << 16
+REACHES = 1 << 17
+HEAD = 4
 #: piece i is the character with this code point plus i; beyond the basic plane every code point is a character
 FIRST = 0x10000
 
@@ -74,27 +76,29 @@ def merge_literal(ranks: dict[bytes, int]) -> Column:
 
 
 def reach_literal(ranks: dict[bytes, int]) -> Column:
-    """array<int>: by the hash of three characters, the longest token that begins with them, at least 2."""
-    reach = [2] * BUCKETS
+    """array<int>: by the hash of ``HEAD`` characters, the longest token that begins with them, one less than ``HEAD`` without
+    such a token. Longer substrings need no look-up; characters that share a hash share the greater length."""
+    reach = [HEAD - 1] * REACHES
     for token in ranks:
-        if len(token) > 2:
-            at = xxhash.xxh64_intdigest("".join(character(ranks[token[i:i + 1]]) for i in range(3)).encode(), 42) % BUCKETS
+        if len(token) >= HEAD:
+            head = "".join(character(ranks[token[i:i + 1]]) for i in range(HEAD))
+            at = xxhash.xxh64_intdigest(head.encode(), 42) % REACHES
             reach[at] = max(reach[at], len(token))
     return F.from_json(F.lit(json.dumps(reach, separators=(",", ":"))), "array<int>")
 
 
 def encoded_word(word: Column, table: Column, reach: Column) -> Column:
     """The pieces of one word, given and returned as characters."""
-    def bucket(piece: Column) -> Column:
+    def bucket(piece: Column, of: int = BUCKETS) -> Column:
         # the remainder of a power of two, as the buckets were dealt
-        return F.xxhash64(piece).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+        return F.xxhash64(piece).bitwiseAND(F.lit(of - 1)).cast("int")
 
     def merge_of(piece: Column) -> Column:
         return F.element_at(F.get(table, bucket(piece)), piece)
 
     n = F.length(word)
     needed = F.flatten(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.transform(
-        F.sequence(F.lit(2), F.least(F.get(reach, bucket(F.substring(word, i, F.lit(3)))), n - i + 1)), lambda size: merge_of(F.substring(word, i, size)))))
+        F.sequence(F.lit(2), F.least(F.get(reach, bucket(F.substring(word, i, F.lit(HEAD)), REACHES)), n - i + 1)), lambda size: merge_of(F.substring(word, i, size)))))
     folded = F.aggregate(F.sort_array(F.array_compact(needed)), word, lambda pieces, m: F.replace(pieces, m["f"], m["t"]))
     return F.when(n < 2, word).otherwise(folded)
 
