@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -126,6 +126,7 @@ def with_stratified_holdout(df: DataFrame, label: str, key: str = PERSON, holdou
 # -- clustering ----------------------------------------------------------------
 
 SCORES = ("recency_score", "frequency_score", "monetary_score")
+SEARCH_STARTS, FINAL_STARTS = 5, 10
 
 
 def score_cells(rfm: DataFrame) -> DataFrame:
@@ -144,21 +145,43 @@ def score_cells(rfm: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=[f"z_{c}" for c in SCORES], outputCol="features").transform(scaled)
 
 
-def _kmeans(cells: DataFrame, k: int, seed: int):
-    return KMeans(k=k, seed=seed, weightCol="weight", featuresCol="features", predictionCol="km_cluster", maxIter=50).fit(cells)
+def _kmeans(cells: DataFrame, k: int, seed: int, restarts: int):
+    """The fit of least inertia among ``restarts`` starts."""
+    fits = [KMeans(k=k, seed=seed + i, weightCol="weight", featuresCol="features", predictionCol="km_cluster", maxIter=50).fit(cells)
+            for i in range(restarts)]
+    return min(fits, key=lambda model: model.summary.trainingCost)
+
+
+def silhouette(labelled: DataFrame) -> DataFrame:
+    """Mean Euclidean silhouette over all customers from the at most 125 cells with ``km_cluster`` and ``weight``.
+
+    A customer is as far from its cell's others as zero, and its own cluster counts without itself, so the figure is that of
+    the full table. Customers alone in their cluster count 0, as does everything when there is one cluster.
+    """
+    place = F.array(*[f"z_{c}" for c in SCORES])
+    one = labelled.select(F.struct(*SCORES).alias("cell"), F.col("km_cluster").alias("own"), F.col("weight").alias("w"), place.alias("at"))
+    other = labelled.select("km_cluster", "weight", place.alias("to"))
+    apart = F.sqrt(F.aggregate(F.zip_with("at", "to", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x))
+    met = one.crossJoin(F.broadcast(other)).groupBy("cell", "own", "w", "km_cluster").agg(
+        F.sum(apart * F.col("weight")).alias("far"), F.sum("weight").alias("size"))
+    mine = F.col("km_cluster") == F.col("own")
+    sides = met.groupBy("cell", "own", "w").agg(
+        F.sum(F.when(mine & (F.col("size") > 1), F.col("far") / (F.col("size") - 1))).alias("a"),
+        F.min(F.when(~mine, F.col("far") / F.col("size"))).alias("b"))
+    value = F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)), F.lit(0.0))
+    return sides.agg((F.sum(F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(value) * F.col("w")) / F.sum("w"))
+                     .alias("silhouette"))
 
 
 def _search(cells: DataFrame, candidates: Sequence[int], seed: int) -> list[tuple]:
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="km_cluster", weightCol="weight")
-    models = [(k, _kmeans(cells, k, seed)) for k in candidates]
-    return [(k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(cells))), model)
-            for k, model in models]
+    models = [(k, _kmeans(cells, k, seed, SEARCH_STARTS)) for k in candidates]
+    return [(k, float(model.summary.trainingCost), float(silhouette(model.transform(cells)).first()[0] or 0.0)) for k, model in models]
 
 
 def cluster_search(cells: DataFrame, candidates: Sequence[int] = range(3, 8), seed: int = SEED) -> list[tuple[int, float, float]]:
     """(k, inertia, silhouette) per candidate. Weighted cells give the figures of the full table."""
     cells = cells.cache()
-    results = [found[:3] for found in _search(cells, candidates, seed)]
+    results = _search(cells, candidates, seed)
     cells.unpersist()
     return results
 
@@ -167,10 +190,8 @@ def segment_clusters(rfm: DataFrame, forced_k: int | None = None, candidates: Se
                      seed: int = SEED) -> DataFrame:
     """``km_cluster`` per customer; k is the candidate with the best silhouette unless forced."""
     cells = score_cells(rfm).cache()
-    if forced_k:
-        model = _kmeans(cells, forced_k, seed)
-    else:
-        model = max(_search(cells, candidates, seed), key=lambda found: (found[2], -found[0]))[3]
+    k = forced_k or max(_search(cells, candidates, seed), key=lambda found: (found[2], -found[0]))[0]
+    model = _kmeans(cells, k, seed, FINAL_STARTS)
     labelled = model.transform(cells).select(*SCORES, "km_cluster")
     return rfm.join(F.broadcast(labelled), list(SCORES), "left")
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as fx
-from .modelling import _bin, quantile_limits
+from ..session import materialize
 
 PERSON = "customer_unique_id"
 NUMERIC = ("avg_order_value", "avg_review_score", "avg_sentiment_score", "total_categories_purchased")
@@ -59,31 +59,44 @@ def remaining_median(scale_time: Column, shape: float, waited: Column) -> Column
 
 
 def expected_next_purchase(model, repeat_customers: DataFrame) -> DataFrame:
-    """Expected days to the next purchase, one decimal. The model's prediction is the Weibull scale."""
+    """Expected days to the next purchase, one decimal, NULL only where it is not finite. The model's prediction is the Weibull scale."""
     shape = 1.0 / model.scale
     waited = F.col("days_since_last_order").cast("double")
     days = remaining_median(F.col("prediction"), shape, waited)
     return model.transform(repeat_customers).select(
-        PERSON, F.when(days < 1e8, F.round(days, 1)).cast("decimal(10,1)").alias("expected_next_purchase_days"))
+        PERSON, F.round(days, 1).alias("expected_next_purchase_days"))
 
 
-def concordance(scored: DataFrame, bins: int = 50, prediction: str = "prediction") -> DataFrame:
-    """Share of comparable pairs the prediction orders rightly, ties counting half.
+def concordance(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """Share of comparable pairs the prediction orders rightly, ties counting half; exact, and no pair is made.
 
-    Pairs are counted from cells (day, prediction bin), not made: the cells are
-    bounded by the calendar times the bins. Pairs inside one bin count as ties.
+    Distinct predictions get rising numbers. Two different numbers part at exactly one bit, where all higher bits agree and the
+    smaller has 0: per bit, the rows that agree above it are counted by day on either side, which finds each pair once. That
+    makes as many rows per prediction as numbers have varying bits; a window holds at most one row per day.
     """
-    limits = quantile_limits(scored, prediction, bins)
-    cells = scored.groupBy(F.col("duration").cast("long").alias("d"), _bin(prediction, limits).alias("b")).agg(
-        F.sum(F.col("event").cast("long")).alias("events"), F.count(F.lit(1)).alias("n"))
-    grid = cells.select("d").distinct().crossJoin(cells.select("b").distinct())
-    dense = grid.join(cells, ["d", "b"], "left").na.fill(0, ["events", "n"])
-    longer = Window.partitionBy("b").orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, -1)
+    cells = materialize(scored.groupBy(F.col("duration").cast("long").alias("d"), F.col(prediction).alias("p")).agg(
+        F.sum(F.col("event").cast("long")).alias("events"), F.count(F.lit(1)).alias("n")), "survival-cells")
+    numbers = materialize(cells.select("p").distinct().repartitionByRange("p").sortWithinPartitions("p")
+                          .withColumn("r", F.monotonically_increasing_id()), "prediction-numbers")
+    placed = cells.join(numbers, "p").withColumn("open", F.col("n") - F.col("events"))
+    varying = placed.agg(F.bit_or("r").bitwiseAND(F.bitwise_not(F.bit_and("r"))).alias("bits")).first()["bits"] or 0
+
+    def part(level: int, block: Column, earlier: Column, later: Column) -> Column:
+        none = F.lit(0).cast("long")
+        return F.struct(F.lit(level).alias("level"), block.cast("long").alias("block"), F.when(earlier, F.col("events")).otherwise(none).alias("e"),
+                        F.when(later, F.col("n")).otherwise(none).alias("n"), F.when(later, F.col("open")).otherwise(none).alias("o"))
+
+    both = F.lit(True)
+    parts = [part(-2, F.lit(0), both, both), part(-1, F.col("r"), both, both)]
+    for level in (i for i in range(63) if varying >> i & 1):
+        high = F.shiftright("r", level).bitwiseAND(F.lit(1)) == 1
+        parts.append(part(level, F.shiftright("r", level + 1), ~high, high))
+    counted = placed.select("d", F.explode(F.array(*parts)).alias("x")).select("d", "x.*").groupBy("level", "block", "d").agg(
+        F.sum("e").alias("e"), F.sum("n").alias("n"), F.sum("o").alias("o"))
+    after = Window.partitionBy("level", "block").orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, -1)
     # later rows outlive an event; so does a row still open on the same day
-    dense = dense.withColumn("later", F.coalesce(F.sum("n").over(longer), F.lit(0)) + F.col("n") - F.col("events"))
-    higher = Window.partitionBy("d").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
-    pairs = dense.select("events", "later", F.coalesce(F.sum("later").over(higher), F.lit(0)).alias("above"),
-                         F.sum("later").over(Window.partitionBy("d")).alias("all_later"))
-    total = F.sum(F.col("events") * F.col("all_later"))
-    right = F.sum(F.col("events") * (F.col("above") + F.col("later") / 2))
-    return pairs.agg((right / F.nullif(total, F.lit(0))).alias("concordance"), total.alias("comparable_pairs"))
+    pairs = counted.withColumn("pairs", F.col("e") * (F.coalesce(F.sum("n").over(after), F.lit(0)) + F.col("o")))
+    kinds = pairs.agg(*[F.coalesce(F.sum(F.when(kind, F.col("pairs"))), F.lit(0)).alias(name) for name, kind in (
+        ("total", F.col("level") == -2), ("ties", F.col("level") == -1), ("right", F.col("level") >= 0))])
+    return kinds.select(((F.col("right") + F.col("ties") / 2) / F.nullif("total", F.lit(0))).alias("concordance"),
+                        F.col("total").alias("comparable_pairs"))

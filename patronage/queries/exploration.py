@@ -239,10 +239,18 @@ crossed("action_by_segment", "rfm_segment", health)
 crossed("action_by_health_tier", "health_tier", health)
 crossed("action_by_state", "customer_state", health)
 
-register("segment_by_cluster", "km_cluster:i Champions:i Loyal:i Lost:i Hibernating:i", "SELECT km_cluster, " + ", ".join(
-    f"count(*) FILTER (WHERE rfm_segment = '{s}') AS {s}" for s in ("Champions", "Loyal", "Lost", "Hibernating"))
-    + " FROM g_scored GROUP BY 1")(
-    lambda t: explore.cross_tab(stored_marts(t).rfm, "km_cluster", "rfm_segment", ("Champions", "Loyal", "Lost", "Hibernating")))
+SEGMENTS = {"Champions": "champions", "Loyal": "loyal", "Potential Loyalist": "potential_loyalist", "At Risk": "at_risk",
+            "Can't Lose": "cant_lose", "Lost": "lost", "Hibernating": "hibernating", "Frequent Low-Spender": "frequent_low_spender",
+            "Needs Attention": "needs_attention"}
+
+
+def literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+register("segment_by_cluster", "km_cluster:i " + " ".join(f"{c}:i" for c in SEGMENTS.values()), "SELECT km_cluster, " + ", ".join(
+    f"count(*) FILTER (WHERE rfm_segment = {literal(s)}) AS {c}" for s, c in SEGMENTS.items()) + " FROM g_scored GROUP BY 1")(
+    lambda t: explore.cross_tab(stored_marts(t).rfm, "km_cluster", "rfm_segment", list(SEGMENTS)).toDF("km_cluster", *SEGMENTS.values()))
 
 LABELS = ("positive", "neutral", "negative")
 

@@ -72,11 +72,12 @@ def load_manifest(t: SampleTables) -> DataFrame:
 
 
 @register("score_write_back", "customer_unique_id:s churn_probability:d touched:i", """
-SELECT customer_unique_id, CASE WHEN churn_probability >= 0.5 THEN 1 ELSE churn_probability END AS churn_probability,
+SELECT customer_unique_id, CASE WHEN churn_probability >= 0.9 THEN NULL WHEN churn_probability >= 0.5 THEN 1 ELSE churn_probability END AS churn_probability,
        CASE WHEN churn_probability >= 0.5 THEN 1 ELSE 0 END AS touched FROM c_scores""")
 def score_write_back(t: SampleTables) -> DataFrame:
-    """New scores reach the matching rows; the others keep their score and their time stamp."""
+    """New scores reach the matching rows, also where they are NULL; the others keep their score and their time stamp."""
     table = t.customer_scores().select("customer_unique_id", "churn_probability")
-    new = table.where(F.col("churn_probability") >= 0.5).withColumn("churn_probability", F.lit(1).cast("decimal(6,4)"))
+    new = table.where(F.col("churn_probability") >= 0.5).withColumn(
+        "churn_probability", F.when(F.col("churn_probability") < 0.9, F.lit(1).cast("decimal(6,4)")))
     written = files.write_back(table, new, "customer_unique_id", touched="refreshed_at")
     return written.withColumn("touched", F.when(F.col("refreshed_at").isNotNull(), 1).otherwise(0))

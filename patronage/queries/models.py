@@ -106,7 +106,7 @@ FROM {CURVE_SQL} ORDER BY CAST(tp AS DOUBLE) / (flagged + positives) DESC, thres
 # -- fitted models: no SQL counterpart -------------------------------------------
 
 # boosting rounds of the registered queries; the library default is 200
-ROUNDS = 20
+ROUNDS = 200
 _RUNS: dict[tuple[str, str, str], object] = {}
 
 

@@ -139,7 +139,7 @@ def reload_table(df: DataFrame, path: str, table: str, expected_rows: int | None
             if expected_rows is not None and entry["rows_loaded"] != expected_rows:
                 entry["error"] = f"expected {expected_rows} rows"
     except Exception as failure:  # noqa: BLE001
-        entry.update(status="failed", error=str(failure)[:500])
+        entry.update(status="failed", error=str(failure))
     entry["elapsed_seconds"] = round(time.monotonic() - started, 2)
     return entry
 
@@ -157,7 +157,7 @@ def load_all(spark: SparkSession, folder: str, target: str, run_id: str, force:
             rows = read_raw(spark, folder, spec)
         except AnalysisException as missing:
             entries.append({"table_name": name, "status": "failed", "rows_loaded": 0, "expected_rows": spec.expected_rows,
-                            "elapsed_seconds": 0.0, "error": str(missing)[:500]})
+                            "elapsed_seconds": 0.0, "error": str(missing)})
         else:
             entries.append(reload_table(rows, f"{target}/{name}", name, spec.expected_rows, force))
     names = [f.split()[0] for f in MANIFEST_SCHEMA.split(", ")][1:]
@@ -171,17 +171,28 @@ def swap_in(df: DataFrame, folder: str, version: str) -> str:
 
     A crash while writing leaves the previous version in place.
     """
-    path = f"{folder.rstrip('/')}/{version}"
-    df.write.mode("errorifexists").parquet(path)
-    pointer = df.sparkSession.createDataFrame([(version,)], "version string")
-    pointer.coalesce(1).write.mode("append").parquet(f"{folder.rstrip('/')}/_current")
-    return path
+    folder, spark = folder.rstrip("/"), df.sparkSession
+    df.write.mode("errorifexists").parquet(f"{folder}/{version}")
+    try:
+        last = _published(spark, folder).agg(F.max("number")).first()[0]
+    except AnalysisException:  # nothing is published yet
+        last = None
+    pointer = spark.createDataFrame([(version, (last or 0) + 1)], PUBLISHED)
+    pointer.coalesce(1).write.mode("append").parquet(f"{folder}/_current")
+    return f"{folder}/{version}"
+
+
+PUBLISHED = "version string, number long"
+
+
+def _published(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(PUBLISHED).parquet(f"{folder}/_current")
 
 
 def current_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """The last published version; version names sort by time."""
+    """The version published last, by the number it got then; names need no order."""
     folder = folder.rstrip("/")
-    newest = spark.read.schema("version string").parquet(f"{folder}/_current").agg(F.max("version")).first()[0]
+    newest = _published(spark, folder).agg(F.max_by("version", "number")).first()[0]
     return spark.read.parquet(f"{folder}/{newest}")
 
 
@@ -193,11 +204,11 @@ def add_nullable(df: DataFrame, name: str, kind: str) -> DataFrame:
 
 
 def write_back(table: DataFrame, scores: DataFrame, key: str, touched: str | None = None) -> DataFrame:
-    """Put new scores into a table by key. Rows without a new score keep what they had."""
+    """Put new scores into a table by key. Rows of no new key keep what they had; a new NULL replaces an old score."""
     names = [c for c in scores.columns if c != key]
     incoming = scores.select(F.col(key), *[F.col(c).alias(f"_new_{c}") for c in names], F.lit(True).alias("_hit"))
     joined = table.join(incoming, key, "left")
-    columns = [F.coalesce(f"_new_{c}", c).alias(c) if c in names else F.col(c) for c in table.columns]
+    columns = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in names else F.col(c) for c in table.columns]
     columns += [F.col(f"_new_{c}").alias(c) for c in names if c not in table.columns]
     if touched:
         now = F.when(F.col("_hit"), F.localtimestamp())

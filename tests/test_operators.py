@@ -1,10 +1,11 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from patronage.operators import actions, history, survival
+from patronage.operators import actions, history, modelling, survival
 from patronage.operators.joins import lookup_join
 from patronage.operators.rules import rfm_segment
 from patronage.plans import gold, silver
@@ -204,14 +205,33 @@ def test_remaining_median_follows_the_weibull_curve(spark):
     assert alive(row["fresh"]) == pytest.approx(0.5) and row["never"] is None
 
 
-def test_concordance_equals_pair_counting(spark):
-    rows = [(i * 37 % 19 + 1, i % 3 > 0, float(i * 13 % 10)) for i in range(60)]
+@pytest.mark.parametrize("distinct", [10, 2500])
+def test_concordance_equals_pair_counting(spark, distinct):
+    rows = [(i * 37 % 19 + 1, i % 3 > 0, float(i * 1301 % distinct) / 7) for i in range(60 if distinct == 10 else 2600)]
     df = spark.createDataFrame([(d, int(e), p) for d, e, p in rows], "duration int, event int, prediction double")
-    good = ties = pairs = 0
-    for d, e, p in rows:
-        for d2, e2, p2 in rows:
-            if e and (d2 > d or (d2 == d and not e2)):
-                pairs, good, ties = pairs + 1, good + (p2 > p), ties + (p2 == p)
-    found = survival.concordance(df, bins=100).first()
-    assert found["comparable_pairs"] == pairs
-    assert found["concordance"] == pytest.approx((good + ties / 2) / pairs)
+    day, event, predicted = (np.array(x) for x in zip(*rows))
+    comparable = event[:, None] & ((day[None, :] > day[:, None]) | ((day[None, :] == day[:, None]) & ~event[None, :]))
+    good, ties = (comparable & (predicted[None, :] > predicted[:, None])).sum(), (comparable & (predicted[None, :] == predicted[:, None])).sum()
+    found = survival.concordance(df).first()
+    assert found["comparable_pairs"] == comparable.sum()
+    assert found["concordance"] == pytest.approx((good + ties / 2) / comparable.sum())
+
+
+def test_silhouette_of_cells_is_that_of_the_rows(spark):
+    rng = np.random.default_rng(1)
+    rows = rng.integers(1, 6, (700, 3))
+    table = spark.createDataFrame([tuple(map(int, r)) for r in rows], "recency_score int, frequency_score int, monetary_score int")
+    scored = (rows - rows.mean(axis=0)) / rows.std(axis=0)
+    apart = np.sqrt(((scored[:, None] - scored[None]) ** 2).sum(axis=2))
+    cells = modelling.score_cells(table)
+    for k in (1, 2, 4):
+        label = rows.sum(axis=1) % k
+        total = 0.0
+        for i in range(len(rows)):
+            own = label == label[i]
+            others = [apart[i, label == c].mean() for c in set(label) if c != label[i]]
+            if others and own.sum() > 1:
+                a, b = apart[i, own].sum() / (own.sum() - 1), min(others)
+                total += (b - a) / max(a, b)
+        place = F.pmod(F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score"), F.lit(k))
+        assert modelling.silhouette(cells.withColumn("km_cluster", place)).first()[0] == pytest.approx(total / len(rows))

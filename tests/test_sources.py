@@ -46,13 +46,16 @@ def test_snapshots_are_swapped_in(spark, tmp_path):
     files.swap_in(spark.range(3), folder, "v1")
     files.swap_in(spark.range(5), folder, "v2")
     assert files.current_snapshot(spark, folder).count() == 5
+    for number in (3, 9, 10, 4):
+        files.swap_in(spark.range(number), folder, f"v{number}")
+    assert files.current_snapshot(spark, folder).count() == 4
 
 
 def test_write_back_keeps_old_scores(spark):
     table = spark.createDataFrame([("a", 1), ("b", None), ("c", 3)], "k string, s int")
-    new = spark.createDataFrame([("a", 9, 1.5), ("b", 8, 2.5)], "k string, s int, extra double")
+    new = spark.createDataFrame([("a", None, 1.5), ("b", 8, 2.5)], "k string, s int, extra double")
     rows = {r["k"]: (r["s"], r["extra"], r["at"] is not None) for r in files.write_back(table, new, "k", touched="at").collect()}
-    assert rows == {"a": (9, 1.5, True), "b": (8, 2.5, True), "c": (3, None, False)}
+    assert rows == {"a": (None, 1.5, True), "b": (8, 2.5, True), "c": (3, None, False)}
 
 
 def test_added_columns(spark):
