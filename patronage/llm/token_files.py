@@ -143,7 +143,8 @@ def count_tokens(docs: DataFrame, doc_id: str, text: str, path: str, pattern: st
     manifest = write_token_files(docs, doc_id, text, path, pattern, separator, folder)
     width = 4 if separator >= 1 << 16 else 2
     counted = scan_separators(spark, manifest.select("file").distinct(), folder, separator, width)
-    return manifest.join(counted, ["file", "ordinal"]).select("doc_id", "file", "ordinal", "start", "n_tokens")
+    # both sides have a row per document, so neither may be broadcast, however well its files compress
+    return manifest.hint("merge").join(counted, ["file", "ordinal"]).select("doc_id", "file", "ordinal", "start", "n_tokens")
 
 
 ship(__name__)
