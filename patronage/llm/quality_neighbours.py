@@ -114,18 +114,28 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     size = CLASSES * CLASSES
     if not rows:
         return NeighbourModel(np.ones(size), np.zeros((size, 1)), np.zeros((0, 1)), np.zeros(0), np.zeros(0), neighbours)
-    damped = np.stack([np.frombuffer(r["counts"], np.float16) for r in rows]).astype(np.float32)
     y = np.array([r["label"] for r in rows], float)
-    idf = np.log((1 + len(rows)) / (1 + (damped > 0).sum(axis=0))).astype(np.float32) + 1
-    weighted = unit(damped * idf)
-    # singular vectors through the smaller of the two Gram matrices
+    damped = np.stack([np.frombuffer(r["counts"], np.float16) for r in rows])
+    del rows
+    df = (damped > 0).sum(axis=0)
+    idf = np.log((1 + y.size) / (1 + df)).astype(np.float32) + 1
+    # terms that no sampled document has weigh nothing, and most pairs never occur
+    seen = np.flatnonzero(df)
+    weighted = damped[:, seen].astype(np.float32)
+    del damped
+    weighted *= idf[seen]
+    length = np.sqrt(np.einsum("ij,ij->i", weighted, weighted))
+    weighted /= np.where(length > 0, length, 1)[:, None]
+    # singular vectors through the Gram matrix of the documents
     values, left = np.linalg.eigh(weighted @ weighted.T)
     keep = np.argsort(values)[::-1][:rank]
     keep = keep[values[keep] > 1e-6]
-    basis = (weighted.T @ left[:, keep]) / np.sqrt(values[keep])
+    own = (weighted.T @ left[:, keep]) / np.sqrt(values[keep])
+    basis = np.zeros((size, keep.size), np.float32)
+    basis[seen] = own
     shares = {v: totals.get(v, 0) / max((y == v).sum(), 1) for v in (0, 1)}
     weights = np.array([shares[int(v)] for v in y])
-    return NeighbourModel(idf, basis.astype(np.float32), unit(weighted @ basis).astype(np.float32), y, weights, neighbours)
+    return NeighbourModel(idf, basis, unit(weighted @ own).astype(np.float32), y, weights, neighbours)
 
 
 def with_scores(docs: DataFrame, model: NeighbourModel, text: str, out: str) -> DataFrame:
