@@ -202,16 +202,17 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def joined_pieces(pieces: list[bytes], column: pa.ListArray) -> pa.Array:
-    """The pieces of each row's ids, joined. Rows are gathered byte by byte in numpy, a batch at a time."""
-    ends = np.cumsum([len(p) for p in pieces])
-    offsets = column.offsets.to_numpy().astype(np.int64)
-    ids = column.values.to_numpy()[offsets[0]:offsets[-1]]
-    if ids.size and (ids.min() < 0 or ids.max() >= len(pieces)):
+def joined_pieces(pieces: pa.Array, column: pa.ListArray) -> pa.Array:
+    """The pieces of each row's ids, joined: taking pieces lays them end to end, so only the rows' bounds are looked up."""
+    offsets = column.offsets.to_numpy()
+    ids = column.values.slice(offsets[0], offsets[-1] - offsets[0])
+    least, most = (v.as_py() for v in pc.min_max(ids).values())
+    if least is not None and (least < 0 or most >= len(pieces)):
         raise ValueError("an id is beyond the ranks")
-    data, after = laid_out(np.frombuffer(b"".join(pieces), np.uint8), ends, ids)
-    places = np.concatenate([[0], after])[offsets - offsets[0]].astype(np.int64)
-    return pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(places), pa.py_buffer(data)]).cast(pa.binary())
+    taken = pieces.take(ids)
+    _, ends, data = taken.buffers()
+    places = np.frombuffer(ends, np.int64)[taken.offset:taken.offset + len(taken) + 1][offsets - offsets[0]]
+    return pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(places), data]).cast(pa.binary())
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded", listed: str | None = None) -> DataFrame:
@@ -226,10 +227,10 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded", l
         pieces = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             pieces[rank] = token
-        numbers = [b"%d," % i for i in range(len(pieces))]
+        tables = [pa.array(p, pa.large_binary()) for p in (pieces, [b"%d," % i for i in range(len(pieces))])[:len(names)]]
         for batch in batches:
             column = pc.fill_null(batch.column(at), []) if batch.column(at).null_count else batch.column(at)
-            found = [joined_pieces(p, column) for p in (pieces, numbers)[:len(names)]]
+            found = [joined_pieces(p, column) for p in tables]
             yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[f.name for f in schema.fields])
 
     return rows.mapInArrow(run, schema)
