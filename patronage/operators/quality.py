@@ -75,6 +75,16 @@ def multi_review_orders(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("order_id").agg(F.count(F.lit(1)).alias("review_count")).where(F.col("review_count") > 1)
 
 
+def multi_review_check(reviews: DataFrame) -> DataFrame:
+    return report(_count(multi_review_orders(reviews), "orders_with_several_reviews"), {"orders_with_several_reviews": None})
+
+
+def share_checks(shares: DataFrame, name: str, share: str, status: Column) -> DataFrame:
+    """A table of shares as check rows, one per value of ``name``."""
+    return shares.select(F.concat(F.lit("pct_"), name).alias("check_name"), F.col(share).cast("double").alias("value"),
+                         status.alias("status"))
+
+
 def most_reviewed_orders(reviews: DataFrame, n: int = 10) -> DataFrame:
     return multi_review_orders(reviews).orderBy(F.desc("review_count"), "order_id").limit(n)
 

@@ -126,9 +126,9 @@ SELECT review_id, CAST(o_orderkey AS VARCHAR) AS order_id, 1 + o_orderkey % 5 AS
        CASE o_orderkey % 3 WHEN 0 THEN '  ' WHEN 1 THEN ' ok ' END AS review_comment_title,
        o_orderdate + to_days(CAST(35 + o_orderkey % 10 AS INTEGER)) AS review_creation_date,
        o_orderdate + to_days(CAST(37 + o_orderkey % 10 AS INTEGER)) AS review_answer_timestamp,
-       CASE WHEN o_orderkey % 2 <> 0 THEN 'text' END AS review_comment_message,
-       CASE WHEN o_orderkey % 2 <> 0 THEN o_orderkey % (SELECT count(*) FROM documents) END AS doc_id
-FROM c_review_ids""")
+       CASE WHEN trim(d.text) <> '' THEN 'text' WHEN d.text IS NOT NULL THEN '' END AS review_comment_message, r.doc_id
+FROM (SELECT *, CASE WHEN o_orderkey % 2 <> 0 THEN o_orderkey % (SELECT count(*) FROM documents) END AS doc_id FROM c_review_ids) r
+LEFT JOIN documents d USING (doc_id)""")
 
 table("c_scores", """
 SELECT CAST(k AS VARCHAR) AS customer_unique_id,
@@ -152,7 +152,7 @@ SELECT p.*, coalesce(t.product_category_name_english, 'UNKNOWN') AS category
 FROM c_products p LEFT JOIN c_translation t USING (product_category_name)""")
 
 table("s_reviews", """
-SELECT * FROM (
+SELECT * REPLACE (nullif(trim(review_comment_message), '') AS review_comment_message) FROM (
   SELECT r.*, o.customer_unique_id, row_number() OVER (
            PARTITION BY r.review_id ORDER BY r.review_creation_date DESC, r.order_id ASC) AS rn
   FROM c_review_heads r JOIN s_orders o USING (order_id) WHERE r.review_score BETWEEN 1 AND 5)

@@ -292,7 +292,10 @@ def repurchase_comparison(frame: DataFrame, columns: Mapping[str, int], target:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(_rows().alias("n")).withColumn("pct", share_of_total("n"))
+    counts = df.groupBy(column).agg(_rows().alias("n"))
+    # the total is one row; a window over all values would be one task
+    return counts.crossJoin(F.broadcast(df.agg(_rows().alias("_all")))).select(
+        column, "n", fx.share(F.col("n") * 100, F.col("_all"), 2).cast("decimal(18,2)").alias("pct"))
 
 
 def top_values(df: DataFrame, by: str, column: str, n: int = 5) -> DataFrame:
@@ -301,7 +304,7 @@ def top_values(df: DataFrame, by: str, column: str, n: int = 5) -> DataFrame:
     sizes = df.groupBy(by).agg(_rows().alias("group_size"))
     place = Window.partitionBy(by).orderBy(F.desc("n"), column)
     top = counts.withColumn("place", F.row_number().over(place)).where(F.col("place") <= n)
-    return top.join(F.broadcast(sizes) if by == "action_type" else sizes, by).withColumn(
+    return top.join(sizes, by).withColumn(
         "pct", fx.ratio(F.col("n") * 100, F.col("group_size"), 1))
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import quality
+from ..operators import measures, quality
 from ..oracle import cents, mean, ratio
 from ..plans import gold, silver
 from ..sources.files import row_counts
 from ..sources.sample_tables import SampleTables
 from . import marts as m
-from .dashboards import health
+from .dashboards import geo, health
 from .registry import register
 from .store import scored_reviews, stored_marts
 
@@ -27,10 +27,21 @@ def check_sql(one: str, **status: str) -> str:
         + f" AS status FROM ({one})" for c, rule in status.items())
 
 
-register("check_row_counts", CHECK, """
-SELECT 'rows_nations' AS check_name, count(*) AS value, CASE WHEN count(*) = 25 THEN 'OK' ELSE 'FAIL' END AS status FROM nation
-UNION ALL SELECT 'rows_orders', count(*), 'INFO' FROM c_orders""")(
-    lambda t: quality.row_count_checks(row_counts({"nations": t.read("nation"), "orders": t.orders}, EXPECTED)))
+COUNTED = {"nations": "nation", "orders": "c_orders", "customers": "c_customers", "sellers": "c_sellers", "products": "c_products",
+           "items": "c_items", "payments": "c_payments", "reviews": "c_review_heads", "category_translation": "c_translation"}
+ROW_COUNT_SQL = " UNION ALL ".join(
+    f"SELECT 'rows_{name}' AS check_name, CAST(count(*) AS DOUBLE) AS value, "
+    + (f"CASE WHEN count(*) = {EXPECTED[name]} THEN 'OK' ELSE 'FAIL' END" if name in EXPECTED else "'INFO'") + f" AS status FROM {source}"
+    for name, source in COUNTED.items())
+
+
+def raw_row_counts(t: SampleTables) -> DataFrame:
+    tables = {"nations": t.read("nation"), "orders": t.orders, "customers": t.customers, "sellers": t.sellers, "products": t.products,
+              "items": t.items, "payments": t.payments, "reviews": t.review_heads, "category_translation": t.category_translation}
+    return quality.row_count_checks(row_counts(tables, EXPECTED))
+
+
+register("check_row_counts", CHECK, ROW_COUNT_SQL)(raw_row_counts)
 
 VERSION_SQL = check_sql("""
 SELECT (SELECT count(*) FROM (SELECT customer_unique_id FROM s_versions WHERE is_current = 1 GROUP BY 1 HAVING count(*) > 1))
@@ -155,16 +166,24 @@ def _coverage_sql(column: str, source: str) -> str:
             f"{ratio(f'count({column}) * 100', 'count(*)', 2)} AS pct_populated FROM {source}")
 
 
-register("prediction_coverage", "column_name:s populated:i total:i pct_populated:d", " UNION ALL ".join(
+COVERAGE_SQL = " UNION ALL ".join(
     [_coverage_sql(c, "g_scored") for c in COVERED]
-    + [_coverage_sql("compound_score", "(SELECT * FROM g_sent WHERE review_comment_message IS NOT NULL)")]))(
-    lambda t: quality.prediction_coverage(stored_marts(t).profile, stored_marts(t).clv, stored_marts(t).rfm, scored_reviews(t)))
+    + [_coverage_sql("compound_score", "(SELECT * FROM g_sent WHERE review_comment_message IS NOT NULL)")])
+
+
+def covered(t: SampleTables) -> DataFrame:
+    s = stored_marts(t)
+    return quality.prediction_coverage(s.profile, s.clv, s.rfm, scored_reviews(t))
+
+
+register("prediction_coverage", "column_name:s populated:i total:i pct_populated:d", COVERAGE_SQL)(covered)
 
 BOUNDS = quality.PREDICTION_BOUNDS
-register("prediction_ranges", CHECK, check_sql(
+RANGE_SQL = check_sql(
     "SELECT " + ", ".join(f"{f}({c}) AS {f}_{c}" for c in BOUNDS for f in ("min", "max")) + " FROM g_scored",
     **{f"min_{c}": f"min_{c} >= {low}" for c, (low, _) in BOUNDS.items()},
-    **{f"max_{c}": "TRUE" if high is None else f"max_{c} <= {high}" for c, (_, high) in BOUNDS.items()}))(
+    **{f"max_{c}": "TRUE" if high is None else f"max_{c} <= {high}" for c, (_, high) in BOUNDS.items()})
+register("prediction_ranges", CHECK, RANGE_SQL)(
     lambda t: quality.prediction_ranges(health(t)))
 
 AGREEMENT_SQL = check_sql(f"""
@@ -174,15 +193,24 @@ SELECT {ratio('sum(is_churned)', 'count(*)', 4)} AS rule_churn_rate, {mean('chur
                           mean_churn_probability="INFO", agreement="INFO")
 register("rule_model_agreement", CHECK, AGREEMENT_SQL)(lambda t: quality.rule_model_agreement(stored_marts(t).profile))
 
-register("segment_distribution", "rfm_segment:s n:i pct:d status:s", f"""
+SEGMENT_SQL = f"""
 SELECT rfm_segment, n, {ratio('n * 100', 'sum(n) OVER ()', 1)} AS pct, 'OK' AS status
-FROM (SELECT rfm_segment, count(*) AS n FROM g_rfm GROUP BY 1)""")(lambda t: quality.segment_distribution(stored_marts(t).rfm))
+FROM (SELECT rfm_segment, count(*) AS n FROM g_rfm GROUP BY 1)"""
+register("segment_distribution", "rfm_segment:s n:i pct:d status:s", SEGMENT_SQL)(
+    lambda t: quality.segment_distribution(stored_marts(t).rfm))
 
 DRIFT_SQL = f"""SELECT 'churn_rate' AS check_name, v AS value, CASE WHEN abs(v - 0.7118) > 0.05 THEN 'WARN' ELSE 'OK' END AS status
 FROM (SELECT {ratio('sum(is_churned)', 'count(*)', 4)} AS v FROM g_360)"""
 register("churn_rate_drift", CHECK, DRIFT_SQL)(lambda t: quality.drift_check(stored_marts(t).profile, 0.7118))
 
-JOBS = {"versions": VERSION_SQL, "orphans": ORPHAN_SQL, "payments": PAYMENT_SQL, "order_dates": DATE_SQL, "marts": MART_SQL,
+JOBS = {"row_counts": ROW_COUNT_SQL, "multiple_reviews": """
+SELECT 'orders_with_several_reviews' AS check_name, CAST(count(*) AS DOUBLE) AS value, 'INFO' AS status
+FROM (SELECT order_id FROM s_reviews GROUP BY 1 HAVING count(*) > 1)""",
+        "coverage": f"SELECT 'pct_' || column_name AS check_name, CAST(pct_populated AS DOUBLE) AS value, 'INFO' AS status FROM ({COVERAGE_SQL})",
+        "ranges": RANGE_SQL,
+        "segments": f"SELECT 'pct_' || rfm_segment AS check_name, CAST(pct AS DOUBLE) AS value, status FROM ({SEGMENT_SQL})",
+        "readiness": "SELECT 'dashboard' AS check_name, CAST(count(*) AS DOUBLE) AS value, 'PASS' AS status FROM g_health",
+        "versions": VERSION_SQL, "orphans": ORPHAN_SQL, "payments": PAYMENT_SQL, "order_dates": DATE_SQL, "marts": MART_SQL,
         "scores": SCORE_SQL, "features": FEATURE_SQL, "reconciliation": RECONCILE_SQL, "agreement": AGREEMENT_SQL,
         "drift": DRIFT_SQL}
 
@@ -192,6 +220,12 @@ JOBS = {"versions": VERSION_SQL, "orphans": ORPHAN_SQL, "payments": PAYMENT_SQL,
 def quality_report(t: SampleTables) -> DataFrame:
     s = stored_marts(t)
     return quality.combined({
+        "row_counts": raw_row_counts(t), "multiple_reviews": quality.multi_review_check(m.review_dim(t)),
+        "coverage": quality.share_checks(covered(t), "column_name", "pct_populated", F.lit("INFO")),
+        "ranges": quality.prediction_ranges(health(t)),
+        "segments": quality.share_checks(quality.segment_distribution(s.rfm), "rfm_segment", "pct", F.col("status")),
+        "readiness": measures.readiness(health(t), s.queue, geo(t)).select(
+            F.lit("dashboard").alias("check_name"), F.col("customers").cast("double").alias("value"), "status"),
         "versions": quality.version_checks(m.versions(t)), "orphans": orphans(t),
         "payments": quality.payment_checks(m.paid_orders(t), t.payments),
         "order_dates": quality.order_date_checks(silver.order_columns(t.orders)), "marts": marts(t),

@@ -85,7 +85,7 @@ FROM (SELECT o.order_id, sum(price) AS order_total, count(*) AS item_count FROM
 register("review_scores", "review_score:i review_count:i with_text:i pct_with_text:d pct_of_all_reviews:d", f"""
 SELECT *, {ratio('with_text * 100', 'review_count', 1)} AS pct_with_text,
        {pct('review_count', 'sum(review_count) OVER ()', 1)} AS pct_of_all_reviews
-FROM (SELECT review_score, count(*) AS review_count, count(review_comment_message) AS with_text FROM c_review_heads GROUP BY 1)
+FROM (SELECT review_score, count(*) AS review_count, count(nullif(rtrim(review_comment_message, ' '), '')) AS with_text FROM c_review_heads GROUP BY 1)
 """)(lambda t: explore.review_scores(t.review_heads))
 
 DELIVERED_SQL = """(SELECT *, date_diff('day', order_estimated_delivery_date, order_delivered_customer_date) AS delta,

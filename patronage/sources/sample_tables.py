@@ -213,9 +213,13 @@ class SampleTables:
 
     @cached_property
     def review_heads(self) -> DataFrame:
-        """Reviews with a marker in place of the text, for jobs that do not read it."""
-        marker = F.when(F.col("doc_id").isNotNull(), F.lit("text")).alias("review_comment_message")
-        return self._reviewed.select(*self._review_columns(F.col("o_orderkey")), marker)
+        """Reviews for jobs that ask only whether there is a text: 'text', '' for a blank one, NULL without one.
+
+        Every text is looked at where it is read, and one short row per document meets the reviews.
+        """
+        marker = F.when(F.trim("text") != "", "text").when(F.col("text").isNotNull(), "").alias("review_comment_message")
+        return self._reviewed.join(self.read("documents").select("doc_id", marker), "doc_id", "left").select(
+            *self._review_columns(F.col("o_orderkey")), "review_comment_message")
 
     @staticmethod
     def _review_columns(key: Column) -> list[Column]:
