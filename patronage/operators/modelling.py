@@ -18,7 +18,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .ranking import group_positions
+from .ranking import exact_percentiles, group_positions
 
 PERSON = "customer_unique_id"
 SEED = 42
@@ -229,10 +229,9 @@ def _bin(value: str, limits: Sequence[float]) -> Column:
     return reduce(lambda total, limit: total + F.when(F.col(value) > limit, 1).otherwise(0), limits, F.lit(0))
 
 
-def quantile_limits(df: DataFrame, value: str, bins: int, accuracy: int = 10_000) -> list[float]:
-    points = [i / bins for i in range(1, bins)]
-    found = df.agg(F.percentile_approx(value, points, accuracy)).first()[0] or []
-    return sorted(set(found))
+def quantile_limits(df: DataFrame, value: str, bins: int) -> list[float]:
+    points = {f"q{i}": str(round(i / bins, 6)) for i in range(1, bins)}
+    return sorted({v for v in exact_percentiles(df, value, points).first() or () if v is not None})
 
 
 @dataclass(frozen=True)
@@ -254,8 +253,8 @@ class Band:
 def fit_band(holdout: DataFrame, label: str = "label", lower: float = 0.1, upper: float = 0.9, deciles: int = 10) -> Band:
     limits = quantile_limits(holdout, "prediction", deciles)
     residuals = holdout.withColumn("_bin", _bin("prediction", limits)).withColumn("_r", F.col(label) - F.col("prediction"))
-    rows = residuals.groupBy("_bin").agg(F.percentile_approx("_r", [lower, upper], 10_000).alias("q")).collect()
-    return Band(limits, {r["_bin"]: (float(r["q"][0]), float(r["q"][1])) for r in rows})
+    rows = exact_percentiles(residuals, "_r", {"low": str(lower), "high": str(upper)}, ["_bin"]).collect()  # one per decile
+    return Band(limits, {r["_bin"]: (r["low"], r["high"]) for r in rows})
 
 
 def band_coverage(scored: DataFrame, label: str = "label") -> DataFrame:

@@ -328,6 +328,12 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one.select(F.inline(rows))
 
 
+def quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact quartiles, one row per column; all columns share one sort of their distinct values."""
+    values = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("decimal(28,10)").alias("value")) for c in columns])
+    return exact_percentiles(df.select(F.inline(values)), "value", {"q25": "0.25", "median": "0.5", "q75": "0.75"}, ["feature"])
+
+
 def word_counts(df: DataFrame, text: str) -> DataFrame:
     """Words of a text column; equal texts are counted once before they are split."""
     texts = df.where(F.col(text).isNotNull()).groupBy(text).agg(_rows().alias("n"))
@@ -335,15 +341,22 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
     return words.where(F.col("word") != "").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+# columns that may be missing, and texts for which empty is the same as missing
+OPTIONAL = ("order_delivered_customer_date", "review_comment_message", "product_category_name")
+EMPTY_IS_MISSING = ("review_comment_message",)
+
+
 def null_profile(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """NULL count and share of the named columns, one scan per table."""
+    """Count and share of missing values of the named columns, one scan per table; for optional columns they only inform."""
     parts = []
     for name, (df, columns) in tables.items():
-        one = df.agg(_rows().alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+        missing = {c: F.col(c).isNull() | (F.length(c) == 0) if c in EMPTY_IS_MISSING else F.col(c).isNull() for c in columns}
+        one = df.agg(_rows().alias("_n"), *[F.count_if(m).alias(c) for c, m in missing.items()])
         rows = F.array(*[F.struct(F.lit(f"{name}.{c}").alias("column_checked"), F.col(c).alias("null_count")) for c in columns])
         parts.append(one.select("_n", F.inline(rows)))
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
+    optional = F.element_at(F.split("column_checked", r"\."), -1).isin(*OPTIONAL)
     return union.select("column_checked", "null_count", fx.ratio(F.col("null_count") * 100, F.col("_n"), 2).alias("pct_of_table"),
-                        F.when(F.col("null_count") == 0, "OK").otherwise("INVESTIGATE").alias("status"))
+                        F.when(F.col("null_count") == 0, "OK").when(optional, "INFO").otherwise("INVESTIGATE").alias("status"))

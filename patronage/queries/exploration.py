@@ -300,11 +300,19 @@ SELECT * FROM (SELECT customer_state, customer_unique_id, total_gmv, row_number(
 
 DESCRIBED = ("total_orders", "total_gmv", "avg_order_value", "tenure_days", "customer_health_score")
 
-register("profile_description", "feature:s count:i mean:d std:d min:d max:d", " UNION ALL ".join(
+
+
+def described(t: SampleTables):
+    profile = stored_marts(t).profile
+    rounded = {c: F.round(c, 4) for c in ("mean", "std", "q25", "median", "q75")}
+    return explore.describe(profile, DESCRIBED).join(explore.quartiles(profile, DESCRIBED), "feature", "left").withColumns(rounded)
+
+
+register("profile_description", "feature:s count:i mean:d std:d min:d max:d q25:d median:d q75:d", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 4) AS mean, "
-    f"round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, min({c}) AS min, max({c}) AS max FROM g_360" for c in DESCRIBED))(
-    lambda t: explore.describe(stored_marts(t).profile, DESCRIBED).withColumns(
-        {"mean": F.round("mean", 4), "std": F.round("std", 4)}))
+    f"round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std, min({c}) AS min, max({c}) AS max, "
+    + ", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), {p}), 4) AS {name}" for name, p in (("q25", 0.25), ("median", 0.5), ("q75", 0.75)))
+    + " FROM g_360" for c in DESCRIBED))(described)
 
 register("reason_words", "word:s n:i", """
 SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(lower(trigger_reason), '[^\\p{L}\\p{N}]+')) AS word FROM g_queue)
@@ -318,11 +326,13 @@ CHECKED = {"orders": ("c_orders", ("order_id", "customer_id", "order_delivered_c
            "products": ("c_products", ("product_category_name",))}
 
 register("null_profile", "column_checked:s null_count:i pct_of_table:d status:s",
-         "SELECT column_checked, null_count, pct_of_table, CASE WHEN null_count = 0 THEN 'OK' ELSE 'INVESTIGATE' END AS status FROM ("
+         "SELECT column_checked, null_count, pct_of_table, CASE WHEN null_count = 0 THEN 'OK' WHEN optional THEN 'INFO' "
+         "ELSE 'INVESTIGATE' END AS status FROM ("
          + " UNION ALL ".join(
-             f"SELECT '{name}.{c}' AS column_checked, count(*) - count({c}) AS null_count, "
-             f"{ratio(f'(count(*) - count({c})) * 100', 'count(*)', 2)} AS pct_of_table FROM {source}"
-             for name, (source, columns) in CHECKED.items() for c in columns) + ")")(
+             f"SELECT '{name}.{c}' AS column_checked, {c in explore.OPTIONAL} AS optional, count(*) - count({v}) AS null_count, "
+             f"{ratio(f'(count(*) - count({v})) * 100', 'count(*)', 2)} AS pct_of_table FROM {source}"
+             for name, (source, columns) in CHECKED.items() for c in columns
+             for v in [f"nullif({c}, '')" if c == "review_comment_message" else c]) + ")")(
     lambda t: explore.null_profile({
         "orders": (t.orders, CHECKED["orders"][1]), "items": (t.items, CHECKED["items"][1]),
         "payments": (t.payments, CHECKED["payments"][1]), "reviews": (t.review_heads, CHECKED["reviews"][1]),

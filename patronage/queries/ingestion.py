@@ -53,8 +53,8 @@ def stored_queue(t: SampleTables) -> DataFrame:
     """The queue as readers see it after two published snapshots."""
     folder = f"{shared_dir(t.spark)}/queue-{uuid.uuid4().hex}"
     queue = stored_marts(t).queue
-    files.swap_in(queue.withColumn("action_type", F.lit("MONITOR")), folder, "v1")
-    files.swap_in(queue, folder, "v2")
+    files.swap_in(queue.withColumn("action_type", F.lit("MONITOR")), folder, "v9")
+    files.swap_in(queue, folder, "v10")
     return files.current_snapshot(t.spark, folder)
 
 
@@ -81,3 +81,14 @@ def score_write_back(t: SampleTables) -> DataFrame:
         "churn_probability", F.when(F.col("churn_probability") < 0.9, F.lit(1).cast("decimal(6,4)")))
     written = files.write_back(table, new, "customer_unique_id", touched="refreshed_at")
     return written.withColumn("touched", F.when(F.col("refreshed_at").isNotNull(), 1).otherwise(0))
+
+
+@register("appended_scores", "run:s customer_unique_id:s churn_probability:d", """
+SELECT run, customer_unique_id, churn_probability FROM c_scores, (VALUES ('first'), ('second')) runs(run)""")
+def appended_scores(t: SampleTables) -> DataFrame:
+    """The scores of two runs, the second appended to the first."""
+    path = f"{shared_dir(t.spark)}/scores-{uuid.uuid4().hex}"
+    scores = t.customer_scores().select("customer_unique_id", "churn_probability")
+    for run in ("first", "second"):
+        files.append_rows(scores.withColumn("run", F.lit(run)), path)
+    return t.spark.read.parquet(path)
