@@ -1,7 +1,7 @@
 """Byte-level byte-pair encoding by Spark's higher-order functions, and decoding.
 
 A task splits its texts into the matches of the pre-tokenising pattern and hands on, per block of texts, the distinct words
-and where they occur. Spark folds the ranked merges over each distinct word. A word is an array of pieces, at first its
+that no earlier block of the task held, and where words occur. Spark folds the ranked merges over each distinct word. A word is an array of pieces, at first its
 bytes, and is held as a string with one character per piece, so that a merge is the replacement of two characters by one.
 The merges that a word can need are those of the tokens among its substrings; they are looked up in a literal map of ranks,
 sorted by rank and folded over the word, each replacing all its pairs from left to right.
@@ -9,8 +9,9 @@ sorted by rank and folded over the word, each replacing all its pairs from left
 One pass in the order of ranks is exact when ranks are a merge order: each token arises from exactly one pair of tokens, both
 of lower rank, whatever surrounds it. ``merges`` derives that pair for every token and refuses a rank file where it fails.
 
-The ids of the words are then laid out along the documents. Decoding joins the binary pieces of ids. No row is shuffled, and a
-block, not the corpus, bounds what is held: each block encodes its own distinct words.
+The ids of the words are then laid out along the documents. Decoding joins the binary pieces of ids. No row is shuffled, and
+what is held is bounded by a block and by ``memory`` words, not by the corpus: the steps before and after the fold number a
+task's words alike and remember them, and begin anew at the first block after that many.
 
 Edge cases: a NULL or empty text has no ids and decodes to no bytes; repeated rows are encoded each; an empty table gives no
 rows; the time for a very long word grows with its length times the longest token, and with its distinct merges.
@@ -21,6 +22,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -111,12 +113,13 @@ class Numbers(dict):
         return number
 
 
-BLOCK = "words array<string>, word_of binary, segment_ends binary, segment_of binary, doc_ends binary, doc_ids array<long>"
+BLOCK = "known int, words array<string>, word_of binary, segment_ends binary, segment_of binary, doc_ends binary, doc_ids array<long>"
 
 
-def blocks(docs: DataFrame, pattern: str, pieces: dict[int, str], block_bytes: int) -> DataFrame:
-    """One row per block of texts: its distinct words as characters, the words of each distinct segment, the segments of each
-    document. ``pieces`` gives the character of every byte, by its code.
+def blocks(docs: DataFrame, pattern: str, pieces: dict[int, str], block_bytes: int, memory: int) -> DataFrame:
+    """One row per block of texts: how many words are known from the task's earlier blocks, its other distinct words as
+    characters, the words of each distinct segment, the segments of each document. ``pieces`` gives the character of every
+    byte, by its code. None is known in the first block and in the one after more than ``memory`` words.
 
     Segments are cut where every match starts anew.
     """
@@ -125,19 +128,23 @@ def blocks(docs: DataFrame, pattern: str, pieces: dict[int, str], block_bytes: i
 
         match = regex.compile(pattern)
         ids, counts, refs, parts, held = [], [], [], Numbers(), 0
+        words: dict[str, int] = Numbers()
 
         def out() -> pa.RecordBatch:
-            nonlocal ids, counts, refs, parts, held
-            words: dict[str, int] = Numbers()
+            nonlocal ids, counts, refs, parts, held, words
+            known = len(words)
             word_of, ends = array("i"), array("i")
             for part in parts:  # the first segment of a text stands in a tuple and has no blank in front
                 word_of.extend([words[w] for w in match.findall(part[0] if type(part) is tuple else " " + part)])
                 ends.append(len(word_of))
-            row = [pa.array([[w.encode().decode("latin-1").translate(pieces) for w in words]], pa.list_(pa.string())), *(
+            fresh = [w.encode().decode("latin-1").translate(pieces) for w in islice(words, known, None)]
+            row = [pa.array([known], pa.int32()), pa.array([fresh], pa.list_(pa.string())), *(
                 pa.array([x.tobytes()], pa.binary()) for x in (word_of, ends)),
                 pa.array([np.concatenate(refs).tobytes() if refs else b""], pa.binary()),
                 pa.array([np.cumsum(counts, dtype=np.int64).astype(np.int32).tobytes()], pa.binary()), pa.array([ids], pa.list_(pa.int64()))]
             ids, counts, refs, parts, held = [], [], [], Numbers(), 0
+            if len(words) > memory:
+                words = Numbers()
             return pa.RecordBatch.from_arrays(row, names=[f.split()[0] for f in BLOCK.split(", ")])
 
         for batch in batches:
@@ -167,7 +174,8 @@ def laid_out(values: np.ndarray, ends: np.ndarray, refs: np.ndarray) -> tuple[np
     return values[np.repeat(starts - (after - sizes), sizes) + np.arange(after[-1] if after.size else 0)], after
 
 
-def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = 10 << 20, rows_out: int = 64) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = 5 << 20,
+           memory: int = 450_000, rows_out: int = 64) -> DataFrame:
     """(doc_id, ids array<int>), one row per document."""
     spark = docs.sparkSession
     # else the literal is printed whole wherever the plan is
@@ -176,22 +184,29 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
     table, reach = merge_literal(ranks), reach_literal(ranks)
     pieces = {b: character(ranks[bytes([b])]) for b in range(256)}
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = blocks(narrow, pattern, pieces, block_bytes).select(
-        F.transform("words", lambda word: encoded_word(word, table, reach)).alias("encoded"),
+    rows = blocks(narrow, pattern, pieces, block_bytes, memory).select(
+        "known", F.transform("words", lambda word: encoded_word(word, table, reach)).alias("encoded"),
         "word_of", "segment_ends", "segment_of", "doc_ends", "doc_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_words, ends_of_words = np.empty(0, np.int32), np.empty(0, np.int64)  # the ids of the words that the task knows
         for batch in batches:
             for i in range(batch.num_rows):
-                words = batch.column(0).slice(i, 1).flatten().cast(pa.large_string())
+                known = batch.column(0)[i].as_py()
+                if known not in (0, len(ends_of_words)):
+                    raise ValueError("blocks of a task are not in order")
+                words = batch.column(1).slice(i, 1).flatten().cast(pa.large_string())
                 word_of, segment_ends, segment_of, doc_ends = (np.frombuffer(batch.column(c)[i].as_py(), np.int32).astype(np.int64)
-                                                               for c in range(1, 5))
+                                                               for c in range(2, 6))
                 # every piece is a character of four bytes, so byte lengths give the numbers of ids
-                sizes = pc.binary_length(words).to_numpy(zero_copy_only=False) // 4
-                values = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.int32) - FIRST
-                values, word_ends = laid_out(values, np.cumsum(sizes), word_of)
+                sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+                fresh = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.int32) - FIRST
+                ends_of_words = ends_of_words[:known]
+                of_words = np.concatenate([of_words[:ends_of_words[-1] if known else 0], fresh])
+                ends_of_words = np.concatenate([ends_of_words, (ends_of_words[-1] if known else 0) + np.cumsum(sizes)])
+                values, word_ends = laid_out(of_words, ends_of_words, word_of)
                 segment_ids = values, np.concatenate([[0], word_ends])[segment_ends]
-                doc_ids, doc_starts = batch.column(5).slice(i, 1).flatten(), np.concatenate([[0], doc_ends])
+                doc_ids, doc_starts = batch.column(6).slice(i, 1).flatten(), np.concatenate([[0], doc_ends])
                 for first in range(0, len(doc_ids), rows_out):  # few documents at a time, to hold few ids
                     bounds = doc_starts[first:first + rows_out + 1]
                     found, after = laid_out(*segment_ids, segment_of[bounds[0]:bounds[-1]])

@@ -167,6 +167,17 @@ def test_bpe_rows(spark, odd):
     assert bpe.encode(odd.limit(0), path("byte_bpe_multi_50k.tiktoken"), PATTERN).count() == 0
 
 
+def test_bpe_remembers_words_between_blocks(spark, odd):
+    prepare(spark)
+    encoding = library()
+    for block, memory in ((1, 10**6), (200, 0), (200, 20)):
+        rows = bpe.encode(odd.coalesce(1), path("byte_bpe_multi_50k.tiktoken"), PATTERN, block_bytes=block, memory=memory).collect()
+        assert len(rows) == odd.count()
+        for r in rows:
+            if r["doc_id"] is not None:
+                assert r["ids"] == encoding.encode_ordinary(ODD[r["doc_id"]] or ""), (block, memory)
+
+
 def test_separators_are_stitched_across_blocks(spark, odd):
     prepare(spark)
     folder = run_folder(spark, "token-test")
