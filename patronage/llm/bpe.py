@@ -174,8 +174,8 @@ def laid_out(values: np.ndarray, ends: np.ndarray, refs: np.ndarray) -> tuple[np
     return values[np.repeat(starts - (after - sizes), sizes) + np.arange(after[-1] if after.size else 0)], after
 
 
-def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = 5 << 20,
-           memory: int = 450_000, rows_out: int = 64) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = 4 << 20,
+           memory: int = 300_000, rows_out: int = 64) -> DataFrame:
     """(doc_id, ids array<int>), one row per document."""
     spark = docs.sparkSession
     # else the literal is printed whole wherever the plan is
@@ -199,8 +199,11 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
                 word_of, segment_ends, segment_of, doc_ends = (np.frombuffer(batch.column(c)[i].as_py(), np.int32).astype(np.int64)
                                                                for c in range(2, 6))
                 # every piece is a character of four bytes, so byte lengths give the numbers of ids
-                sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-                fresh = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.int32) - FIRST
+                _, ends, data = words.buffers()
+                ends = np.frombuffer(ends, np.int64)[words.offset:words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+                sizes = np.diff(ends) // 4
+                text = data.slice(ends[0], ends[-1] - ends[0]).to_pybytes().decode() if len(words) else ""
+                fresh = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int32) - FIRST
                 ends_of_words = ends_of_words[:known]
                 of_words = np.concatenate([of_words[:ends_of_words[-1] if known else 0], fresh])
                 ends_of_words = np.concatenate([ends_of_words, (ends_of_words[-1] if known else 0) + np.cumsum(sizes)])
