@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 64
@@ -19,33 +21,36 @@ def word_join(rows: DataFrame, words: DataFrame, on: str) -> DataFrame:
     return lookup_join(rows, words, on)
 
 
-def lookup_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "left", keys: DataFrame | None = None) -> DataFrame:
-    """Join facts to a table that is unique on ``on``, with hot keys taken out of the shuffle.
+def hot_keys(rows: DataFrame, on: Sequence[str]) -> Column:
+    """One array of hot keys, as text, for each column of ``on``; all columns are counted in one scan of ``rows``.
+
+    A key is hot when it has at least 1/64 of the rows that have a key, so an array holds at most 64. The result is a
+    scalar subquery, which Spark runs once however often a plan names it.
+    """
+    keys = rows.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_of"), F.col(c).cast("string").alias("_key")) for c in on])).alias("_x")).select("_x.*")
+    counts = keys.where(F.col("_key").isNotNull()).groupBy("_of", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = counts.groupBy("_of").agg(F.sum("_n").alias("_size"))
+    hot = counts.join(F.broadcast(sizes), "_of").where(F.col("_n") * HOT_SHARE >= F.col("_size"))
+    lists = hot.agg(*[F.collect_list(F.when(F.col("_of") == c, F.col("_key"))).alias(c) for c in on])
+    return lists.select(F.struct(*on)).scalar()
+
 
-    Hot keys are counted in ``keys``, by default the facts; when the facts are
-    themselves the result of joins, give the table the key column came from.
+def lookup_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "left", hot: Column | None = None) -> DataFrame:
+    """Join facts to a table that is unique on ``on``, with the rows of hot keys dealt over 64 copies of their dim row.
 
-    A key is hot when it has at least 1/64 of all fact rows, so there are at most
-    64 of them: their dim rows are broadcast. All other rows meet in an ordinary
-    join, for which Spark picks broadcast or sort-merge from the size of ``dim``.
+    ``hot`` is a result of ``hot_keys`` with the column ``on``, by default that of the facts; when the facts are themselves
+    the result of joins, count the table that the key column came from. At most 64 dim rows are copied. Both sides are
+    read once, and Spark picks broadcast or sort-merge from the size of ``dim``.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     added = [c for c in dim.columns if c != on]
-    counts = (facts if keys is None else keys).where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    size = counts.agg(F.sum("_n").alias("_size"))
-    hot_keys = (counts.crossJoin(F.broadcast(size)).where(F.col("_n") * HOT_SHARE >= F.col("_size"))
-                .select(F.col(on).alias("_hot_key")))
-    hot_dim = (dim.join(F.broadcast(hot_keys), dim[on] == F.col("_hot_key"))
-               .select("_hot_key", F.struct(*added).alias("_hot")))
-
-    marked = facts.join(F.broadcast(hot_dim), facts[on] == F.col("_hot_key"), "left")
-    spread = (F.when(F.col("_hot_key").isNull() & F.col(on).isNotNull(), F.lit(0))
-              .otherwise(F.lit(1) + F.pmod(F.xxhash64(*facts.columns), F.lit(SPREAD))).cast("int"))
-    marked = marked.withColumn("_salt", spread)
-    cold_dim = dim.select(F.col(on).alias("_dim_key"), F.lit(0).alias("_salt"), F.struct(*added).alias("_cold"))
-    joined = marked.join(cold_dim, (marked[on] == F.col("_dim_key")) & (marked["_salt"] == cold_dim["_salt"]), "left")
-    if how == "inner":
-        joined = joined.where(F.col("_hot_key").isNotNull() | F.col("_dim_key").isNotNull())
-    found = F.coalesce("_hot", "_cold")
-    return joined.select(*[facts[c] for c in facts.columns], *[found.getField(c).alias(c) for c in added])
+    keys = (hot_keys(facts, [on]) if hot is None else hot).getField(on)
+    is_hot = F.array_contains(keys, F.col(on).cast("string"))
+    dealt = F.pmod(F.xxhash64(*facts.columns), F.lit(SPREAD)).cast("int")
+    marked = facts.withColumn("_salt", F.when(F.col(on).isNull() | is_hot, dealt).otherwise(F.lit(0)))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    copied = dim.select(F.col(on).alias("_dim_key"), F.struct(*added).alias("_found"), F.explode(copies).alias("_dim_salt"))
+    joined = marked.join(copied, (F.col(on) == F.col("_dim_key")) & (F.col("_salt") == F.col("_dim_salt")), how)
+    return joined.select(*facts.columns, *[F.col("_found").getField(c).alias(c) for c in added])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as fx
 from ..operators.history import first_versions, keep_first, scd2_merge, with_version_at
-from ..operators.joins import lookup_join
+from ..operators.joins import hot_keys, lookup_join
 
 
 @dataclass(frozen=True)
@@ -112,9 +112,11 @@ def unresolved_orders(orders: DataFrame, facts: DataFrame) -> DataFrame:
 
 def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
     """Order lines with the customer and the product and seller keys; lines of unknown orders drop out."""
-    rows = lookup_join(items, orders.select("order_id", "customer_unique_id"), "order_id", "inner")
-    rows = lookup_join(rows, products.select("product_id", "product_sk"), "product_id", keys=items)
-    rows = lookup_join(rows, sellers.select("seller_id", "seller_sk"), "seller_id", keys=items)
+    hot = hot_keys(items, ["product_id", "seller_id"])
+    # an order has a handful of lines, so its key needs no counting
+    rows = items.join(orders.select("order_id", "customer_unique_id"), "order_id")
+    rows = lookup_join(rows, products.select("product_id", "product_sk"), "product_id", hot=hot)
+    rows = lookup_join(rows, sellers.select("seller_id", "seller_sk"), "seller_id", hot=hot)
     rows = rows.withColumn("gmv", fx.item_gmv()).withColumn("freight_ratio", fx.freight_ratio())
     if "order_item_id" in items.columns:
         rows = rows.withColumn("item_sk", F.xxhash64("order_id", "order_item_id"))

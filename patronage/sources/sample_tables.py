@@ -11,10 +11,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.ranking import group_positions
 
 FIRST_RUN = "1998-01-01"
 SECOND_RUN = "2000-01-01"
@@ -126,12 +125,16 @@ class SampleTables:
 
     @cached_property
     def numbered_items(self) -> DataFrame:
-        """Order lines with an id that is unique inside the order (line numbers repeat in the sample)."""
+        """Order lines with an id that is unique inside the order (line numbers repeat in the sample).
+
+        An order has a handful of lines, so a window by order stays small.
+        """
         lines = self.read("lineitem").select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_discount",
             "l_tax")
         tie_break = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_discount", "l_tax"]
-        placed = group_positions(lines, ["l_orderkey"], ["l_linenumber"], tie_break)
+        inside = Window.partitionBy("l_orderkey").orderBy("l_linenumber", *tie_break)
+        placed = lines.withColumn("row", F.row_number().over(inside))
         return placed.select(
             _text("l_orderkey").alias("order_id"),
             F.col("row").cast("int").alias("order_item_id"),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronage.operators import actions, history, modelling, survival
-from patronage.operators.joins import lookup_join
+from patronage.operators.joins import hot_keys, lookup_join
 from patronage.operators.rules import rfm_segment
 from patronage.plans import gold, silver
 
@@ -23,6 +23,24 @@ def test_lookup_join_with_hot_and_missing_keys(spark):
         assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
 
 
+def test_hot_keys_of_several_columns(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("a"),
+                                    F.when(F.col("id") % 5 > 0, F.lit("x")).alias("b"))
+    for frame, expected in ((rows, (["7"], ["x"])), (rows.limit(0), ([], []))):
+        found = spark.range(1).select(hot_keys(frame, ["a", "b"]).alias("hot")).first()["hot"]
+        assert (found["a"], found["b"]) == expected
+
+
+def test_fact_order_items_reads_each_table_once(spark, sample):
+    from patronage.queries import queries
+
+    plan = queries()["fact_order_items"](spark, sample.path)._jdf.queryExecution().optimizedPlan()
+    names = [line.split("parquet")[0] for line in plan.toString().splitlines() if "Relation [" in line]
+    # the lines once more for their hot keys, in the subquery that both lookups name
+    for key in ("o_orderkey", "p_partkey", "s_suppkey", "c_custkey"):
+        assert sum(f"[{key}#" in n or f",{key}#" in n for n in names) == 1, key
+
+
 # -- versions ------------------------------------------------------------------
 
 SNAPSHOT = "customer_id string, customer_unique_id string, customer_zip_code_prefix string, customer_city string, customer_state string"
