@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 from ..session import materialize, shared_dir, tune
 
 ARROW_TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
-               "binary": pa.binary(), "tinyint": pa.int8()}
+               "binary": pa.binary(), "tinyint": pa.int8(), "longs": pa.list_(pa.int64())}
 FIELD_TYPES = {"long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(),
-               "boolean": T.BooleanType(), "binary": T.BinaryType(), "tinyint": T.ByteType()}
+               "boolean": T.BooleanType(), "binary": T.BinaryType(), "tinyint": T.ByteType(),
+               "longs": T.ArrayType(T.LongType())}
 
 
 def ship(module: str) -> None:
