@@ -15,10 +15,10 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .ranking import exact_percentiles, group_positions
+from .ranking import exact_percentiles, group_positions, running_sums
 
 PERSON = "customer_unique_id"
 SEED = 42
@@ -272,19 +272,17 @@ def train_churn_model(train: DataFrame, label: str = "label", reference_rate: fl
                          **(TREES | settings)).fit(train.withColumn("weight", weight))
 
 
-def with_probability(scored: DataFrame, digits: int = 6) -> DataFrame:
-    return scored.withColumn("probability", F.round(vector_to_array("probability")[1], digits))
+def with_probability(scored: DataFrame, digits: int | None = None) -> DataFrame:
+    value = vector_to_array("probability")[1]
+    return scored.withColumn("probability", value if digits is None else F.round(value, digits))
 
 
-def threshold_curve(scored: DataFrame, label: str = "label", digits: int = 6) -> DataFrame:
-    """Precision, recall and F1 at every score. Scores are kept to six digits, which bounds the rows of this table."""
-    counts = scored.groupBy(F.round("probability", digits).alias("threshold")).agg(
+def threshold_curve(scored: DataFrame, label: str = "label") -> DataFrame:
+    """Precision, recall and F1 at every distinct score, unrounded; the sums run over range partitions."""
+    counts = scored.groupBy(F.col("probability").alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
-    down = Window.partitionBy(F.lit(1)).orderBy(F.desc("threshold"))
-    curve = counts.select(
-        "threshold", "pos", "n", F.sum("pos").over(down).alias("tp"), F.sum("n").over(down).alias("flagged"),
-        F.sum("pos").over(Window.partitionBy(F.lit(1))).alias("positives"),
-        F.sum("n").over(Window.partitionBy(F.lit(1))).alias("total"))
+    totals = counts.agg(F.sum("pos").alias("positives"), F.sum("n").alias("total"))
+    curve = running_sums(counts, [F.desc("threshold")], {"tp": "pos", "flagged": "n"}).crossJoin(F.broadcast(totals))
     precision = F.col("tp") / F.col("flagged")
     recall = F.coalesce(F.col("tp") / F.nullif(F.col("positives"), F.lit(0)), F.lit(0.0))
     f1 = F.coalesce(F.lit(2.0) * F.col("tp") / F.nullif(F.col("flagged") + F.col("positives"), F.lit(0)), F.lit(0.0))

@@ -170,6 +170,24 @@ def global_positions(df: DataFrame, key: Sequence[str], orders: dict[str, Order]
     return placed.groupBy(*key).agg(*picks)
 
 
+def running_sums(df: DataFrame, order: Sequence[Column], amounts: dict[str, str], partitions: int | None = None) -> DataFrame:
+    """``df`` with, per output name, the sum of a whole-number column up to and including the row in ``order``.
+
+    ``order`` must tell all rows apart. Each range partition is summed by itself; the driver adds one row per partition.
+    """
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = ranged.withColumn("_part", F.spark_partition_id())
+    upto = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = materialize(ranged.withColumns({f"_sum_{n}": F.coalesce(F.sum(c).over(upto), F.lit(0)) for n, c in amounts.items()}), "sums")
+    before, shifts = dict.fromkeys(amounts, 0), []
+    for part in sorted(local.groupBy("_part").agg(*[F.sum(c).alias(n) for n, c in amounts.items()]).collect(), key=lambda r: r["_part"]):
+        shifts.append((part["_part"], *before.values()))
+        before = {n: before[n] + (part[n] or 0) for n in amounts}
+    schema = "_part int, " + ", ".join(f"_before_{n} long" for n in amounts)
+    joined = local.join(F.broadcast(df.sparkSession.createDataFrame(shifts, schema)), "_part")
+    return joined.select(*df.columns, *[(F.col(f"_sum_{n}") + F.col(f"_before_{n}")).alias(n) for n in amounts])
+
+
 # -- from positions to the usual rank functions --------------------------------
 
 def percent_rank(name: str) -> Column:

@@ -80,3 +80,19 @@ def test_clusters_of_weighted_cells(spark):
     found = modelling.segment_clusters(rfm, forced_k=3)
     assert found.groupBy("recency_score").agg(F.count_distinct("km_cluster").alias("n")).where("n <> 1").count() == 0
     assert found.select("km_cluster").distinct().count() == 3
+
+
+def test_threshold_curve_tells_close_scores_apart(spark):
+    rows = [(0.5 + i * 1e-9, int(i * 7919 % 10 < 4)) for i in range(3000)]
+    curve = modelling.threshold_curve(spark.createDataFrame(rows, "probability double, label int"))
+    found = {r["threshold"]: (r["tp"], r["flagged"]) for r in curve.collect()}
+    tp, wanted = 0, {}
+    for flagged, (score, label) in enumerate(sorted(rows, reverse=True), 1):
+        tp += label
+        wanted[score] = (tp, flagged)
+    assert found == wanted
+    metrics = modelling.threshold_metrics(curve).first()
+    lost, kept = [s for s, y in rows if y], [s for s, y in rows if not y]
+    assert abs(metrics["roc_auc"] - sum(a > b for a in lost for b in kept) / (len(lost) * len(kept))) < 1e-12
+    best = max(wanted, key=lambda s: (2 * wanted[s][0] / (wanted[s][1] + tp), -s))
+    assert (metrics["threshold"], metrics["tp"]) == (best, wanted[best][0])
