@@ -38,11 +38,15 @@ def id_multiplicity(customers: DataFrame) -> DataFrame:
         "pct_of_customers", share_of_total("customer_count", 3))
 
 
-def most_ids(customers: DataFrame, n: int = 10) -> DataFrame:
-    """People with the most ids. Ids are listed only for the n people kept."""
+def listed_ids(customers: DataFrame, n: int = 10) -> DataFrame:
+    """One row per (person, id) of the people with the most ids, however many ids one of them has."""
     top = (ids_per_person(customers).where(F.col("id_count") > 1).orderBy(F.desc("id_count"), PERSON).limit(n))
-    ids = customers.select(PERSON, "customer_id").distinct().join(F.broadcast(top), PERSON)
-    return ids.groupBy(PERSON, "id_count").agg(
+    return customers.join(F.broadcast(top), PERSON).select(PERSON, "id_count", "customer_id").where("customer_id IS NOT NULL").distinct()
+
+
+def most_ids(customers: DataFrame, n: int = 10) -> DataFrame:
+    """People with the most ids, their ids in one text, which one task makes; ``listed_ids`` has them in rows."""
+    return listed_ids(customers, n).groupBy(PERSON, "id_count").agg(
         F.array_join(F.sort_array(F.collect_list("customer_id")), " | ").alias("customer_ids"))
 
 

@@ -55,6 +55,12 @@ SELECT customer_unique_id, count(DISTINCT customer_id) AS id_count,
 FROM {PEOPLE_SQL} GROUP BY 1 HAVING count(DISTINCT customer_id) > 1 ORDER BY id_count DESC, customer_unique_id LIMIT 10""")(
     lambda t: explore.most_ids(shared_people(t)))
 
+register("listed_ids", "customer_unique_id:s id_count:i customer_id:s", f"""
+SELECT DISTINCT customer_unique_id, id_count, customer_id FROM {PEOPLE_SQL} JOIN (
+  SELECT customer_unique_id, count(DISTINCT customer_id) AS id_count FROM {PEOPLE_SQL} GROUP BY 1
+  HAVING count(DISTINCT customer_id) > 1 ORDER BY id_count DESC, customer_unique_id LIMIT 10) USING (customer_unique_id)""")(
+    lambda t: explore.listed_ids(shared_people(t)))
+
 register("orders_of_repeated_ids", "id_records:i orders_placed:i", f"""
 SELECT count(DISTINCT c.customer_id) AS id_records, count(DISTINCT o.order_id) AS orders_placed
 FROM {PEOPLE_SQL} c JOIN {PER_PERSON_SQL} d ON d.customer_unique_id = c.customer_unique_id AND d.id_count > 1
