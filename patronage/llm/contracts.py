@@ -40,6 +40,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "bits", ((F.col("lang_pred") != F.col("best"))).alias("rejected"))
 
 
+#: words of a shingle and differing bits that link
+SHINGLE, RADIUS = 3, 3
+
+
 @register("op3_simhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))

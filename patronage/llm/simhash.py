@@ -63,10 +63,10 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, text: str, out: str) -> DataFrame:
+def with_fingerprints(docs: DataFrame, text: str, out: str, shingle: int = 3) -> DataFrame:
     """``docs`` with the fingerprint as a signed long in ``out``."""
     def start():
-        return lambda texts: [[signed(fingerprint(t)) for t in texts]]
+        return lambda texts: [[signed(fingerprint(t, shingle)) for t in texts]]
 
     return with_columns(docs, [text], {out: "long"}, start)
 
@@ -159,14 +159,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(found, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:
     """One row of each class with all its columns: that with the smallest id, rows without id last, then by text hash.
 
     Rows repeated in all of (id, text) are cut to one; only such rows are shuffled with their texts.
     """
     fp, me, best = (free_name(docs, n) for n in ("__fp", "__me", "__best"))
     rank = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("h"))
-    marked = with_fingerprints(docs, text, fp).withColumn(me, rank)
+    marked = with_fingerprints(docs, text, fp, shingle).withColumn(me, rank)
     firsts = (marked.select(F.col(fp).alias("fp"), F.col(me).alias("me")).groupBy("fp", "me").agg(F.count(F.lit(1)).alias("rows"))
               .groupBy("fp").agg(F.min(F.struct("me", "rows")).alias("first")))
     distinct = materialize(firsts.select("fp", "first.*"), "distinct-fingerprints")
