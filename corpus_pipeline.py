@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import contracts, near_copies, packing, quality_neighbours, quality_rules, secrets
+from patronage.llm import contracts, packing, quality_neighbours, quality_rules, secrets, simhash
 from patronage.llm.common import prepare, table
 from patronage.session import shared_dir
 
@@ -34,9 +34,9 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more), that with the smallest id."""
+    """One document of each group that fingerprints of three-word shingles link at three bits or fewer, that with the smallest id."""
     prepare(spark)
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs, shingle=contracts.SHINGLE, radius=contracts.RADIUS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
