@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, nearest, packing, quality_neighbours, quality_rules, secrets, simhash, token_files, warc
+from . import bpe, conversation_repair, language, merkle, nearest, packing, quality_neighbours, quality_rules, secrets, simhash, token_files, warc
 from .common import run_folder, table
+from .contract_sql import MERKLE
 from .registry import register
 
 #: where the vocabulary files are and how texts are split before merges; parameters of the operators
@@ -100,3 +101,41 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = F.substring("listed", F.lit(1), F.greatest(F.octet_length("listed") - 1, F.lit(0)))
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op12_merkle", MERKLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0, F.lit(False))
+    # tampering adds one to n_chars of every row whose crc32 7 divides; other rows keep their leaf
+    other = merkle.leaf([F.col(c) + 1 if c == "n_chars" else F.col(c) for c in columns])
+    rows = merkle.manifest(docs, columns, carry={"other": F.when(tampered, other)})
+    text = {c: F.lower(F.hex(c)) for c in ("leaf", "subroot", "root")}
+    fold = F.lower(F.hex(merkle.folded(F.coalesce("other", "leaf"), F.col("path"))))
+    return rows.select("doc_id", *[v.alias(c) for c, v in text.items()], F.sha2(F.lower(F.hex(merkle.proof(F.col("path")))), 256).alias("proof_sha256"),
+                       fold.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversation rows with planted faults, by crc32 of ``conv_id:turn``; NULLs are read as one blank."""
+    blank = F.lit(" ")
+    number = lambda c: F.coalesce(F.col(c).cast("string"), blank)
+    fault = F.pmod(F.crc32(F.concat(number("conv_id"), F.lit(":"), number("turn"))), F.lit(20))
+    text, role = F.coalesce("text", blank), F.coalesce("role", blank)
+    changed = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate(text, ".!?", "")).otherwise(text)
+    return (turns.withColumn("fault", fault).where("fault <> 0")
+            .withColumn("copy", F.explode(F.when(F.col("fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+            .select("conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(role).alias("role"), changed.alias("text")))
+
+
+@register("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repair = conversation_repair.repair(damaged(turns))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = (turns.select("conv_id").distinct().join(repair.report, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+             .join(conversation_repair.digests(repair.rows), F.col("conv_id").eqNullSafe(F.col("conv")), "left"))
+    # conversations without a row after damage, or after repair
+    return found.select("conv_id", *[F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
