@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversation_repair, language, merkle, nearest, packing, quality_neighbours, quality_rules, secrets, simhash, token_files, warc
+from . import bpe, conversation_repair, language, merkle, nearest, odd_sketches, packing, quality_neighbours, quality_rules, secrets, simhash, token_files, warc
 from .common import run_folder, table
 from .contract_sql import MERKLE
 from .registry import register
@@ -139,3 +139,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     # conversations without a row after damage, or after repair
     return found.select("conv_id", *[F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in counts], F.coalesce("audit", F.lit("")).alias("audit"),
                         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@register("op13_odd_sketches")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketches.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, least=80)
