@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import modelling, survival
+from ..operators import modelling, quantiles, survival
 from ..operators.actions import assign_actions
 from ..operators.rules import with_segment
 from ..operators.sentiment import customer_sentiment, score_reviews
@@ -34,19 +34,29 @@ class ValueRun:
     predictions: DataFrame
 
 
-def run_value_model(frame: DataFrame, tune: bool = False, **settings) -> ValueRun:
-    """Holdout metrics and interval, then predictions of a model refitted on all customers."""
+def run_value_model(frame: DataFrame, tune: bool = False, band: str = "quantile", band_settings: dict | None = None, **settings) -> ValueRun:
+    """Holdout metrics and interval, then predictions of a model refitted on all customers.
+
+    The interval is that of two quantile models (``band_settings``: rounds, depth, step), or of residual quantiles
+    per decile of the prediction with ``band="conformal"``, which costs no further fits.
+    """
     rows, _ = _designed(frame, modelling.CLV_NUMERIC, modelling.CLV_ZERO_FILL)
     rows = modelling.with_holdout(rows)
     model = modelling.train_value_model(rows.where(F.col("is_holdout") == 0), tune=tune, **settings)
     holdout = modelling.clipped(model.transform(rows.where(F.col("is_holdout") == 1)))
-    band = modelling.fit_band(holdout)
     final = modelling.train_value_model(rows, **settings)
-    scored = band.apply(modelling.clipped(final.transform(rows)))
+    if band == "conformal":
+        fitted = modelling.fit_band(holdout)
+        coverage, scored = modelling.band_coverage(fitted.apply(holdout)), fitted.apply(modelling.clipped(final.transform(rows)))
+    else:
+        chosen = {"rounds": settings.get("maxIter", modelling.TREES["maxIter"])} | (band_settings or {})
+        tried = quantiles.train_quantile_band(rows.where(F.col("is_holdout") == 0), **chosen)
+        coverage = quantiles.band_metrics(tried.apply(holdout)).select("coverage")
+        scored = quantiles.train_quantile_band(rows, **chosen).apply(modelling.clipped(final.transform(rows)))
     predictions = scored.select(PERSON, F.round("prediction", 2).cast("decimal(14,2)").alias("clv_predicted_6m"),
                                 F.round("ci_lower", 2).cast("decimal(14,2)").alias("clv_ci_lower"),
                                 F.round("ci_upper", 2).cast("decimal(14,2)").alias("clv_ci_upper"))
-    return ValueRun(modelling.regression_metrics(holdout), modelling.band_coverage(band.apply(holdout)), predictions)
+    return ValueRun(modelling.regression_metrics(holdout), coverage, predictions)
 
 
 @dataclass(frozen=True)
