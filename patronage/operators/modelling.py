@@ -7,17 +7,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import materialize, ship
 from .ranking import exact_percentiles, group_positions, running_sums
 
 PERSON = "customer_unique_id"
@@ -126,6 +129,7 @@ def with_stratified_holdout(df: DataFrame, label: str, key: str = PERSON, holdou
 # -- clustering ----------------------------------------------------------------
 
 SCORES = ("recency_score", "frequency_score", "monetary_score")
+#: starts per k; the figures of a search and the clusters come from fits of as many starts or more
 SEARCH_STARTS, FINAL_STARTS = 5, 10
 
 
@@ -141,59 +145,93 @@ def score_cells(rfm: DataFrame) -> DataFrame:
         mean = F.col(f"{c}_s") / F.col("n")
         spread = F.sqrt(F.greatest(F.col(f"{c}_q") / F.col("n") - mean * mean, F.lit(0.0)))
         columns.append(F.coalesce((F.col(c) - mean) / F.nullif(spread, F.lit(0.0)), F.lit(0.0)).alias(f"z_{c}"))
-    scaled = scaled.select(*SCORES, "weight", *columns).coalesce(1).sortWithinPartitions(*SCORES)
-    return VectorAssembler(inputCols=[f"z_{c}" for c in SCORES], outputCol="features").transform(scaled)
+    return scaled.select(*SCORES, "weight", *columns)
+
+
+def _lloyd(places: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator, steps: int = 100) -> tuple[float, np.ndarray]:
+    """Inertia and cluster per place of one start: seeds drawn far apart, then weighted means until nothing moves."""
+    def distances(centres: np.ndarray) -> np.ndarray:
+        return ((places[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+
+    centres = places[[rng.choice(len(places), p=weights / weights.sum())]]
+    while len(centres) < k:
+        pull = distances(centres).min(axis=1) * weights
+        if not pull.sum():
+            break  # fewer distinct places than clusters
+        centres = np.vstack([centres, places[rng.choice(len(places), p=pull / pull.sum())]])
+    for _ in range(steps):
+        nearest = distances(centres).argmin(axis=1)
+        moved = np.array([np.average(places[nearest == c], axis=0, weights=weights[nearest == c]) if (nearest == c).any() else centres[c]
+                          for c in range(len(centres))])
+        if np.array_equal(moved, centres):
+            break
+        centres = moved
+    far = distances(centres)
+    return float((far.min(axis=1) * weights).sum()), far.argmin(axis=1)
+
+
+def cluster_fits(cells: DataFrame, candidates: Sequence[int], starts: int, seed: int = SEED) -> DataFrame:
+    """The fit of least inertia per k: a row per k and cell with ``k``, ``inertia``, ``km_cluster`` and the columns of ``cells``.
+
+    Every (k, start) is a group of its own that holds the at most 125 cells, so all starts of all k run side by side in one
+    job. Clusters are numbered by their first cell.
+    """
+    names = [*SCORES, "weight", *(f"z_{c}" for c in SCORES)]
+    runs = cells.select(*names, F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i).alias("start")) for k in candidates for i in range(starts)]))
+                        .alias("run")).select(*names, "run.*")
 
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values(list(SCORES)).reset_index(drop=True)
+        k, start = int(rows["k"][0]), int(rows["start"][0])
+        inertia, nearest = _lloyd(rows[[f"z_{c}" for c in SCORES]].to_numpy(), rows["weight"].to_numpy(), k, np.random.default_rng([seed, k, start]))
+        _, first = np.unique(nearest, return_index=True)
+        number = {nearest[place]: i for i, place in enumerate(sorted(first))}
+        return rows.assign(inertia=inertia, km_cluster=[number[c] for c in nearest])
 
-def _kmeans(cells: DataFrame, k: int, seed: int, restarts: int):
-    """The fit of least inertia among ``restarts`` starts."""
-    fits = [KMeans(k=k, seed=seed + i, weightCol="weight", featuresCol="features", predictionCol="km_cluster", maxIter=50).fit(cells)
-            for i in range(restarts)]
-    return min(fits, key=lambda model: model.summary.trainingCost)
+    schema = T.StructType([*runs.schema.fields, T.StructField("inertia", T.DoubleType()), T.StructField("km_cluster", T.IntegerType())])
+    fitted = runs.groupBy("k", "start").applyInPandas(fit, schema)
+    best = F.first("start").over(Window.partitionBy("k").orderBy("inertia", "start"))
+    return fitted.withColumn("best", best).where(F.col("start") == F.col("best")).drop("best", "start")
 
 
-def silhouette(labelled: DataFrame) -> DataFrame:
-    """Mean Euclidean silhouette over all customers from the at most 125 cells with ``km_cluster`` and ``weight``.
+def silhouette(labelled: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Mean Euclidean silhouette over all customers from the at most 125 cells with ``km_cluster`` and ``weight``, per ``by``.
 
     A customer is as far from its cell's others as zero, and its own cluster counts without itself, so the figure is that of
     the full table. Customers alone in their cluster count 0, as does everything when there is one cluster.
     """
+    by = list(by)
     place = F.array(*[f"z_{c}" for c in SCORES])
-    one = labelled.select(F.struct(*SCORES).alias("cell"), F.col("km_cluster").alias("own"), F.col("weight").alias("w"), place.alias("at"))
-    other = labelled.select("km_cluster", "weight", place.alias("to"))
+    one = labelled.select(*by, F.struct(*SCORES).alias("cell"), F.col("km_cluster").alias("own"), F.col("weight").alias("w"), place.alias("at"))
+    other = labelled.select(*by, "km_cluster", "weight", place.alias("to"))
     apart = F.sqrt(F.aggregate(F.zip_with("at", "to", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x))
-    met = one.crossJoin(F.broadcast(other)).groupBy("cell", "own", "w", "km_cluster").agg(
-        F.sum(apart * F.col("weight")).alias("far"), F.sum("weight").alias("size"))
+    paired = one.join(F.broadcast(other), by) if by else one.crossJoin(F.broadcast(other))
+    met = paired.groupBy(*by, "cell", "own", "w", "km_cluster").agg(F.sum(apart * F.col("weight")).alias("far"), F.sum("weight").alias("size"))
     mine = F.col("km_cluster") == F.col("own")
-    sides = met.groupBy("cell", "own", "w").agg(
+    sides = met.groupBy(*by, "cell", "own", "w").agg(
         F.sum(F.when(mine & (F.col("size") > 1), F.col("far") / (F.col("size") - 1))).alias("a"),
         F.min(F.when(~mine, F.col("far") / F.col("size"))).alias("b"))
     value = F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)), F.lit(0.0))
-    return sides.agg((F.sum(F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(value) * F.col("w")) / F.sum("w"))
-                     .alias("silhouette"))
+    mean = F.sum(F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(value) * F.col("w")) / F.sum("w")
+    return sides.groupBy(*by).agg(mean.alias("silhouette"))
 
 
-def _search(cells: DataFrame, candidates: Sequence[int], seed: int) -> list[tuple]:
-    models = [(k, _kmeans(cells, k, seed, SEARCH_STARTS)) for k in candidates]
-    return [(k, float(model.summary.trainingCost), float(silhouette(model.transform(cells)).first()[0] or 0.0)) for k, model in models]
+def cluster_search(cells: DataFrame, candidates: Sequence[int] = range(3, 8), seed: int = SEED) -> DataFrame:
+    """(k, inertia, silhouette) per candidate. Weighted cells give the figures of the full table."""
+    return _judged(materialize(cluster_fits(cells, candidates, SEARCH_STARTS, seed), "cluster-fits"))
 
 
-def cluster_search(cells: DataFrame, candidates: Sequence[int] = range(3, 8), seed: int = SEED) -> list[tuple[int, float, float]]:
-    """(k, inertia, silhouette) per candidate. Weighted cells give the figures of the full table."""
-    cells = cells.cache()
-    results = _search(cells, candidates, seed)
-    cells.unpersist()
-    return results
+def _judged(fits: DataFrame) -> DataFrame:
+    return fits.groupBy("k").agg(F.first("inertia").alias("inertia")).join(silhouette(fits, ["k"]), "k")
 
 
 def segment_clusters(rfm: DataFrame, forced_k: int | None = None, candidates: Sequence[int] = range(3, 8),
                      seed: int = SEED) -> DataFrame:
-    """``km_cluster`` per customer; k is the candidate with the best silhouette unless forced."""
-    cells = score_cells(rfm).cache()
-    k = forced_k or max(_search(cells, candidates, seed), key=lambda found: (found[2], -found[0]))[0]
-    model = _kmeans(cells, k, seed, FINAL_STARTS)
-    labelled = model.transform(cells).select(*SCORES, "km_cluster")
-    return rfm.join(F.broadcast(labelled), list(SCORES), "left")
+    """``km_cluster`` per customer; k is the candidate with the best silhouette (the least k on a tie) unless forced."""
+    fits = materialize(cluster_fits(score_cells(rfm), [forced_k] if forced_k else candidates, FINAL_STARTS, seed), "cluster-fits")
+    if forced_k is None:
+        fits = fits.join(F.broadcast(_judged(fits).orderBy(F.desc("silhouette"), "k").limit(1).select("k")), "k")
+    return rfm.join(F.broadcast(fits.select(*SCORES, "km_cluster")), list(SCORES), "left")
 
 
 # -- value model ---------------------------------------------------------------
@@ -316,3 +354,6 @@ def save_scorer(path: str, model, design: Design, **details) -> None:
 def load_scorer(path: str, model_class) -> tuple[object, Design, dict]:
     return (model_class.load(f"{path}/model"), Design.load(f"{path}/design"),
             _read_json(SparkSession.active(), f"{path}/details"))
+
+
+ship(__name__)

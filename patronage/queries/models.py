@@ -139,8 +139,7 @@ register("segment_clusters", "customer_unique_id:s rfm_segment:s km_cluster:i")(
     lambda t: modelling.segment_clusters(stored_marts(t).rfm.drop("km_cluster")))
 
 register("cluster_search", "k:i inertia:d silhouette:d")(
-    lambda t: t.spark.createDataFrame(modelling.cluster_search(modelling.score_cells(stored_marts(t).rfm)),
-                                      "k int, inertia double, silhouette double"))
+    lambda t: modelling.cluster_search(modelling.score_cells(stored_marts(t).rfm)))
 
 register("clv_predictions", "customer_unique_id:s clv_predicted_6m:d clv_ci_lower:d clv_ci_upper:d")(
     lambda t: value_run(t).predictions)

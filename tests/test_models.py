@@ -82,6 +82,31 @@ def test_clusters_of_weighted_cells(spark):
     assert found.select("km_cluster").distinct().count() == 3
 
 
+@pytest.mark.parametrize("rows", [4000, 60])
+def test_starts_of_one_job_are_no_worse_than_fits_in_turn(spark, rows):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    table = spark.range(rows).select(*[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(97 + i)) % 5 + 1).alias(c) for i, c in enumerate(modelling.SCORES)])
+    cells = modelling.score_cells(table.where("recency_score < 4 or monetary_score > 2")).cache()
+    found = {r["k"]: r for r in modelling.cluster_search(cells).collect()}
+    places = VectorAssembler(inputCols=[f"z_{c}" for c in modelling.SCORES], outputCol="features").transform(cells)
+    assert set(found) == {3, 4, 5, 6, 7}
+    for k, row in found.items():
+        fits = [KMeans(k=k, seed=42 + i, weightCol="weight", maxIter=50).fit(places).summary.trainingCost for i in range(5)]
+        assert row["inertia"] <= min(fits) * 1.01 and -1 <= row["silhouette"] <= 1
+    fitted = modelling.cluster_fits(cells, (3, 5), 4)
+    assert fitted.count() == 2 * cells.count() and fitted.groupBy("k").agg(F.count_distinct("km_cluster").alias("n")).where("n <> k").count() == 0
+    assert fitted.exceptAll(modelling.cluster_fits(cells.repartition(3), (3, 5), 4)).count() == 0
+
+
+def test_fewer_cells_than_clusters(spark):
+    rfm = spark.createDataFrame([("a", 1, 1, 1), ("b", 5, 5, 5), ("c", 5, 5, 5)], "customer_unique_id string, recency_score int, frequency_score int, monetary_score int")
+    found = {r[0]: r[-1] for r in modelling.segment_clusters(rfm).select("customer_unique_id", "km_cluster").collect()}
+    assert found["b"] == found["c"] != found["a"]
+    assert modelling.segment_clusters(rfm.limit(0)).count() == 0
+
+
 def test_threshold_curve_tells_close_scores_apart(spark):
     rows = [(0.5 + i * 1e-9, int(i * 7919 % 10 < 4)) for i in range(3000)]
     curve = modelling.threshold_curve(spark.createDataFrame(rows, "probability double, label int"))
