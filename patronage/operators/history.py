@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import lookup_join
+from .joins import HOT_SHARE, SPREAD, lookup_join
 
 TRACKED = ("customer_zip_code_prefix", "customer_city", "customer_state")
 FAR_FUTURE = "9999-12-31"
@@ -71,28 +71,55 @@ def scd2_merge(dimension: DataFrame, snapshot: DataFrame, run_date: str, key: st
     return dimension.where(F.col("is_current") == 0).select(*columns).unionByName(merged.select(*columns))
 
 
-def version_lists(dimension: DataFrame, key: str, carried: Sequence[str]) -> DataFrame:
-    """Versions of a key as one array, oldest first. A key has at most one version per load run."""
-    extra = [c for c in carried if c not in ("valid_from", "valid_to")]
-    entry = F.struct("valid_from", F.coalesce("valid_to", F.lit(FAR_FUTURE).cast("date")).alias("valid_to"), *extra)
-    return dimension.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("versions"))
+def effective_versions(dimension: DataFrame, key: str, carried: Sequence[str]) -> DataFrame:
+    """Versions without overlaps, as (key, at, until, version, oldest): the days on which each is the first that covers.
 
-
-def covering_version(moment: str, versions: str = "versions") -> Column:
-    """The version whose [valid_from, valid_to) holds the moment, else the oldest one."""
-    day = F.to_date(F.col(moment))
-    covering = F.filter(F.col(versions), lambda v: (v["valid_from"] <= day) & (day < v["valid_to"]))
-    return F.coalesce(F.get(covering, F.lit(0)), F.get(F.col(versions), F.lit(0)))
+    Among versions that cover a day the oldest counts, so a version holds from the end of all older ones. Each key also has an entry
+    without a day, which comes before all others and stands for its oldest version; that one also serves days nobody covers.
+    """
+    until = F.coalesce("valid_to", F.lit(FAR_FUTURE).cast("date"))
+    order = Window.partitionBy(key).orderBy("valid_from", until, *carried)
+    older_until = F.max(until).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    version = F.struct(*carried)
+    rows = dimension.select(key, F.greatest("valid_from", older_until).alias("at"), until.alias("until"), version.alias("version"),
+                            F.first(version).over(order).alias("oldest"), F.row_number().over(order).alias("place"))
+    none = F.lit(None).cast("date")
+    entries = F.array_compact(F.array(F.when(F.col("place") == 1, F.struct(none.alias("at"), none.alias("until"))),
+                                      F.when(F.col("at") < F.col("until"), F.struct("at", "until"))))
+    return rows.select(key, "version", "oldest", F.inline(entries))
+
+
+def hot_people(facts: DataFrame, customers: DataFrame, key: str = "customer_unique_id") -> Column:
+    """People with at least 1/64 of the facts, at most 64, as a scalar subquery; facts are counted per id before they meet the people."""
+    ids = facts.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    people = ids.join(customers.select("customer_id", key), "customer_id").groupBy(key).agg(F.sum("n").alias("n"))
+    return (people.crossJoin(F.broadcast(people.agg(F.sum("n").alias("size")))).where(F.col("n") * HOT_SHARE >= F.col("size"))
+            .agg(F.collect_list(key).alias("hot")).scalar())
 
 
 def with_version_at(facts: DataFrame, customers: DataFrame, dimension: DataFrame, moment: str,
                     carried: Sequence[str] = ("customer_sk",)) -> DataFrame:
-    """Add the person behind ``customer_id`` and the version in force at ``moment``; unresolved rows drop out."""
-    versions = version_lists(dimension, "customer_unique_id", carried)
-    known = customers.select("customer_id", "customer_unique_id").join(versions, "customer_unique_id")
-    joined = lookup_join(facts, known, "customer_id", "inner").withColumn("_version", covering_version(moment))
-    fact_columns = [c for c in joined.columns if c not in ("versions", "_version")]
-    return joined.select(*fact_columns, *[F.col(f"_version.{c}").alias(c) for c in carried])
+    """Add the person behind ``customer_id`` and the version in force at ``moment``; unresolved rows drop out.
+
+    Versions and facts of a person are one stream in order of their days, and each fact takes the version that came last. The
+    facts of a person with a large share of them are dealt over 64 streams, each with a copy of the person's versions.
+    """
+    key = "customer_unique_id"
+    known = lookup_join(facts, customers.select("customer_id", key), "customer_id", "inner")
+    is_hot = F.array_contains(hot_people(facts, customers), F.col(key))
+    dealt = F.when(is_hot, F.pmod(F.xxhash64(*facts.columns), F.lit(SPREAD)).cast("int")).otherwise(0)
+    rows = known.select(key, dealt.alias("stream"), F.to_date(F.col(moment)).alias("at"), F.lit(1).alias("kind"),
+                        F.struct(*[c for c in known.columns if c != key]).alias("fact"))
+    copies = F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0))))
+    versions = effective_versions(dimension, key, carried).select(
+        key, copies.alias("stream"), "at", F.lit(0).alias("kind"), F.struct("until", "version", "oldest").alias("entry"))
+    in_time = Window.partitionBy(key, "stream").orderBy(F.col("at").asc_nulls_first(), "kind").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (rows.unionByName(versions, allowMissingColumns=True)
+              .withColumn("last", F.last("entry", ignorenulls=True).over(in_time)).where((F.col("kind") == 1) & F.col("last").isNotNull()))
+    chosen = F.when(F.col("at") < F.col("last.until"), F.col("last.version")).otherwise(F.col("last.oldest"))
+    found = placed.select(key, "fact", chosen.alias("version"))
+    return found.select(*[F.col(key) if c == key else F.col("fact").getField(c).alias(c) for c in known.columns],
+                        *[F.col("version").getField(c).alias(c) for c in carried])
 
 
 def overlapping_versions(dimension: DataFrame, key: str = "customer_unique_id") -> DataFrame:

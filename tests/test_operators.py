@@ -103,6 +103,39 @@ def test_version_at_the_time_of_the_order(spark):
         "before": "x", "on_first": "x", "on_second": "y", "after": "y", "none": "x"}
 
 
+def plain_version(versions, day):
+    """The first version in order of (valid_from, valid_to) that covers the day, else the first."""
+    ordered = sorted(versions, key=lambda v: (v[0], v[1] or "9999-12-31", v[2]))
+    return next((v for v in ordered if day and v[0] <= day < (v[1] or "9999-12-31")), ordered[0])[2]
+
+
+def test_version_at_equals_trying_all_versions(spark):
+    """Gaps, overlaps, empty versions, days without a version, NULL days; one person with a third of the facts and 10,000 versions."""
+    import datetime
+    import random
+
+    draw, start = random.Random(9), datetime.date(1990, 1, 1)
+    day = lambda n: str(start + datetime.timedelta(n))
+    versions = {f"p{p}": [(day(a), None if draw.random() < 0.2 else day(a + draw.randint(0, 40)), f"v{p}-{i}") for i in range(draw.randint(1, 6))
+                          for a in [draw.randint(0, 100)]] for p in range(60)}
+    versions["hot"] = [(day(i), day(i + 1), f"h{i}") for i in range(10_000)]
+    customers = [(f"{p}#{i}", p) for p in versions for i in range(2)] + [("nobody#0", "nobody")]
+    facts = [(i, draw.choice(customers)[0], draw.choice([None, day(draw.randint(-5, 140))])) for i in range(4000)]
+    facts += [(10_000 + i, f"hot#{i % 2}", day(draw.randint(-100, 10_100))) for i in range(2500)] + [(20_000, "unknown", day(3)), (20_001, None, day(3))]
+    dim = spark.createDataFrame([(p, *v) for p, vs in versions.items() for v in vs], "customer_unique_id string, f string, t string, customer_sk string").select(
+        "customer_unique_id", F.to_date("f").alias("valid_from"), F.to_date("t").alias("valid_to"), "customer_sk")
+    orders = spark.createDataFrame(facts, "id int, customer_id string, d string").withColumn("t", F.to_timestamp("d"))
+    people = spark.createDataFrame(customers, "customer_id string, customer_unique_id string")
+    found = history.with_version_at(orders, people, dim, "t")
+    person = dict(customers)
+    wanted = {i: plain_version(versions[person[c]], d) for i, c, d in facts if person.get(c) in versions}
+    assert {r["id"]: r["customer_sk"] for r in found.collect()} == wanted and found.count() == len(wanted)
+    # no list of versions is gathered; the only list is that of the at most 64 hot people
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "valid_from" in plan and "collect_list(struct" not in plan
+
+
+
 # -- payments, reviews, dates --------------------------------------------------
 
 def test_payments_of_an_order(spark):
