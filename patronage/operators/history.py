@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import HOT_SHARE, SPREAD, lookup_join
 
 TRACKED = ("customer_zip_code_prefix", "customer_city", "customer_state")
@@ -71,6 +73,56 @@ def scd2_merge(dimension: DataFrame, snapshot: DataFrame, run_date: str, key: st
     return dimension.where(F.col("is_current") == 0).select(*columns).unionByName(merged.select(*columns))
 
 
+# -- the stored dimension --------------------------------------------------------
+
+def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    """All versions of a stored dimension."""
+    return spark.read.parquet(path).drop("closed_on")
+
+
+def _put(rows: DataFrame, path: str) -> None:
+    """Replace the partitions that ``rows`` falls into: the open versions, and those closed on one day each."""
+    (rows.withColumn("closed_on", F.when(F.col("is_current") == 0, F.col("valid_to")))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("is_current", "closed_on").parquet(path))
+
+
+def _is_stored(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+def load_versions(snapshot: DataFrame, path: str, run_date: str, key: str = "customer_unique_id", tie_break: str = "customer_id",
+                  tracked: Sequence[str] = TRACKED) -> DataFrame:
+    """Bring the dimension stored at ``path`` up to a snapshot and return all its versions.
+
+    Only open versions are read, joined and rewritten. Versions that close are put beside those closed before, in a partition per
+    closing day, so history is neither read nor touched. They are put there before the open ones are replaced: a load that dies in
+    between finds the same versions to close again, and one repeated on the same day changes nothing.
+    """
+    spark = snapshot.sparkSession
+    if not _is_stored(spark, path):
+        _put(first_versions(snapshot, run_date, key, tie_break, tracked), path)
+        return read_versions(spark, path)
+    stored = spark.read.parquet(path)
+    columns = [c for c in stored.columns if c not in ("is_current", "closed_on")]
+    opened = stored.where(F.col("is_current") == 1).select(*columns, F.col("is_current").cast("int").alias("is_current"))
+    merged = materialize(scd2_merge(opened, snapshot, run_date, key, tie_break, tracked), "merged-versions")
+    closing = merged.where(F.col("is_current") == 0)
+    if not closing.isEmpty():
+        today = stored.where((F.col("is_current") == 0) & (F.col("closed_on") == F.lit(run_date).cast("date"))).select(
+            *columns, F.lit(0).alias("is_current"))
+        closed = closing.select(*columns, "is_current").unionByName(today).dropDuplicates(["customer_sk", "valid_from"])
+        _put(materialize(closed, "closed-versions"), path)
+    _put(merged.where(F.col("is_current") == 1).select(*columns, "is_current"), path)
+    return read_versions(spark, path)
+
+
+# -- the version in force --------------------------------------------------------
+
 def effective_versions(dimension: DataFrame, key: str, carried: Sequence[str]) -> DataFrame:
     """Versions without overlaps, as (key, at, until, version, oldest): the days on which each is the first that covers.
 

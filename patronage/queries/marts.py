@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..operators.rules import with_segment
 from ..oracle import cents, ratio
 from ..operators.ranking import bounded_median
 from ..plans import gold, silver
+from ..session import shared_dir
 from ..sources.calendar import calendar_of
 from ..sources.sample_tables import FIRST_RUN, ML_CUTOFF, SECOND_RUN, SampleTables
 from .registry import register
@@ -204,6 +207,16 @@ def versions(t: SampleTables) -> DataFrame:
 register("customer_versions", "customer_unique_id:s customer_id:s customer_zip_code_prefix:s customer_city:s "
          "customer_state:s valid_from:s valid_to:s is_current:i", "SELECT * FROM s_versions")(versions)
 
+@register("customer_versions_stored", "customer_unique_id:s customer_id:s customer_zip_code_prefix:s customer_city:s "
+          "customer_state:s valid_from:s valid_to:s is_current:i", "SELECT * FROM s_versions")
+def stored_versions(t: SampleTables) -> DataFrame:
+    """The dimension as three loads leave it in its folder; the third finds nothing new."""
+    path = f"{shared_dir(t.spark)}/dim-customer-{uuid.uuid4().hex}"
+    for snapshot, day in ((t.customers, FIRST_RUN), (t.moved_customers, SECOND_RUN), (t.moved_customers, "2000-06-01")):
+        found = history.load_versions(snapshot, path, day)
+    return found
+
+
 register("customer_versions_rerun", "customer_unique_id:s customer_state:s valid_from:s valid_to:s is_current:i",
          "SELECT * FROM s_versions")(lambda t: history.scd2_merge(versions(t), t.moved_customers, "2000-06-01"))
 

@@ -103,6 +103,28 @@ def test_version_at_the_time_of_the_order(spark):
         "before": "x", "on_first": "x", "on_second": "y", "after": "y", "none": "x"}
 
 
+def test_a_stored_dimension_is_changed_in_place(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    people = lambda city, n=40: snapshot(spark, *[(f"k{i}", "1", city if i % 4 == 0 else "x", "S") for i in range(n)])
+    files = lambda: {f: (f.stat().st_mtime_ns, f.stat().st_size) for f in (tmp_path / "dim").rglob("*.parquet")}
+    history.load_versions(people("x"), path, "2020-01-01")
+    history.load_versions(people("y"), path, "2020-02-01")
+    closed = {f: v for f, v in files().items() if "is_current=0" in str(f)}
+    assert closed
+    third = history.load_versions(people("z", 44), path, "2020-03-01")
+    # versions closed before stay in the files they were in; only the open part is new
+    assert {f: v for f, v in files().items() if f in closed} == closed
+    plain = history.first_versions(people("x"), "2020-01-01")
+    for city, n, day in (("y", 40, "2020-02-01"), ("z", 44, "2020-03-01")):
+        plain = history.scd2_merge(plain, people(city, n), day)
+    columns = plain.columns
+    assert third.select(columns).exceptAll(plain).count() == 0 and third.count() == plain.count() == 40 + 10 + 10 + 4
+    # the same load once more, and another change on the same day
+    assert history.load_versions(people("z", 44), path, "2020-03-01").select(columns).exceptAll(plain).count() == 0
+    more = history.load_versions(people("w", 44), path, "2020-03-01")
+    assert more.count() == plain.count() + 11 and more.where("is_current = 1").count() == 44
+
+
 def plain_version(versions, day):
     """The first version in order of (valid_from, valid_to) that covers the day, else the first."""
     ordered = sorted(versions, key=lambda v: (v[0], v[1] or "9999-12-31", v[2]))
