@@ -219,9 +219,14 @@ def exact_percentiles(df: DataFrame, value: str, probabilities: dict[str, str],
     Equal values are counted first, so only distinct values are sorted.
     ``probabilities`` maps a column name to a decimal such as ``"0.9"``.
     """
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    return counted_percentiles(counted, "_value", "_n", probabilities, by)
+
+
+def counted_percentiles(counts: DataFrame, value: str, n: str, probabilities: dict[str, str], by: Sequence[str] = ()) -> DataFrame:
+    """The same from how often each value occurs: one row per ``by`` group and ``value``, neither NULL."""
     by = list(by)
-    counted = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast(VALUE_TYPE).alias("v"))
-               .agg(F.count(F.lit(1)).cast("decimal(38,6)").alias("n")))
+    counted = counts.groupBy(*by, F.col(value).cast(VALUE_TYPE).alias("v")).agg(F.sum(n).cast("decimal(38,6)").alias("n"))
     placed = _shifted(_local_positions(counted, by, ["v"], [], "n", None), by, ["v"], "n", few_groups=not by)
     sizes = counted.groupBy(*by).agg(F.sum("n").alias("size"))
     placed = placed.join(sizes, by) if by else placed.crossJoin(F.broadcast(sizes))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import actions, measures
+from ..operators import actions, measures, rollups
 from ..oracle import cents, mean, pct, ratio
 from ..plans import gold, views
 from ..sources.sample_tables import SampleTables
@@ -337,3 +337,45 @@ SELECT 'PASS' AS status, count(*) AS customers, (SELECT count(*) FROM g_queue) A
        count(*) FILTER (WHERE clv_predicted_6m IS NULL) AS null_clv,
        count(*) FILTER (WHERE avg_sentiment_score IS NULL) AS null_sentiment FROM g_health""")(
     lambda t: measures.readiness(health(t), stored_marts(t).queue, geo(t)))
+
+GROUPINGS = ((), ("customer_state",), ("rfm_segment",), ("customer_state", "rfm_segment"))
+
+register("measures_all_groupings", "level:s customer_state:s rfm_segment:s total_customers:i total_gmv:d avg_order_value:d total_freight_paid:d "
+         "freight_ratio:d avg_gmv_per_customer:d as_of_date:s churned_customers:i churn_rate:d avg_churn_probability:d "
+         "high_churn_customers:i high_churn_rate:d avg_pct_late:d avg_delivery_delta:d avg_review_score:d avg_health_score:d "
+         "high_priority:i med_priority:i low_priority:i actionable_customers:i actionable_pct:d flagged_gmv:d retention_gmv:d "
+         "reactivation_gmv:d retention_count:i reactivation_count:i monitor_count:i clv_with_prediction:i clv_coverage_pct:d avg_clv:d "
+         "max_clv:d total_clv:d median_clv:d p90_clv:d customers_scored:i avg_sentiment:d with_prediction:i avg_next_purchase_days:d "
+         "min_next_purchase_days:d", f"""
+SELECT CASE grouping(customer_state) * 2 + grouping(rfm_segment) WHEN 3 THEN 'all' WHEN 1 THEN 'customer_state' WHEN 2 THEN 'rfm_segment'
+            ELSE 'customer_state,rfm_segment' END AS level, customer_state, rfm_segment,
+       count(*) AS total_customers, sum(total_gmv) AS total_gmv, {mean('avg_order_value', 2)} AS avg_order_value,
+       sum(total_freight_paid) AS total_freight_paid,
+       coalesce({ratio(cents('sum(total_freight_paid)'), cents('sum(total_gmv)'), 4)}, 0) AS freight_ratio,
+       {ratio(cents('sum(total_gmv)'), 'count(*) * 100', 2)} AS avg_gmv_per_customer, max(as_of_date) AS as_of_date,
+       sum(is_churned) AS churned_customers, {ratio('sum(is_churned)', 'count(*)', 4)} AS churn_rate,
+       {mean('churn_probability', 4, 4)} AS avg_churn_probability,
+       count(*) FILTER (WHERE churn_probability >= 0.6) AS high_churn_customers,
+       {ratio('count(*) FILTER (WHERE churn_probability >= 0.6)', 'count(*)', 4)} AS high_churn_rate,
+       {mean('pct_late_deliveries', 4, 4)} AS avg_pct_late, {mean('avg_delivery_delta_days', 2)} AS avg_delivery_delta,
+       {mean('avg_review_score', 2)} AS avg_review_score, {mean('customer_health_score', 2)} AS avg_health_score,
+       count(*) FILTER (WHERE latest_action_priority = 'HIGH') AS high_priority,
+       count(*) FILTER (WHERE latest_action_priority = 'MED') AS med_priority,
+       count(*) FILTER (WHERE latest_action_priority = 'LOW') AS low_priority,
+       count(*) FILTER (WHERE latest_action_type <> 'MONITOR') AS actionable_customers,
+       {ratio("count(*) FILTER (WHERE latest_action_type <> 'MONITOR')", 'count(*)', 4)} AS actionable_pct,
+       coalesce(sum(total_gmv) FILTER (WHERE latest_action_type <> 'MONITOR'), 0) AS flagged_gmv,
+       coalesce(sum(total_gmv) FILTER (WHERE latest_action_type = 'RETENTION_CAMPAIGN'), 0) AS retention_gmv,
+       coalesce(sum(total_gmv) FILTER (WHERE latest_action_type = 'REACTIVATION'), 0) AS reactivation_gmv,
+       count(*) FILTER (WHERE latest_action_type = 'RETENTION_CAMPAIGN') AS retention_count,
+       count(*) FILTER (WHERE latest_action_type = 'REACTIVATION') AS reactivation_count,
+       count(*) FILTER (WHERE latest_action_type = 'MONITOR') AS monitor_count,
+       count(clv_predicted_6m) AS clv_with_prediction, {ratio('count(clv_predicted_6m)', 'count(*)', 4)} AS clv_coverage_pct,
+       {mean('clv_predicted_6m', 2)} AS avg_clv, max(clv_predicted_6m) AS max_clv, sum(clv_predicted_6m) AS total_clv,
+       round(quantile_cont(CAST(clv_predicted_6m AS DOUBLE), 0.5), 4) AS median_clv,
+       round(quantile_cont(CAST(clv_predicted_6m AS DOUBLE), 0.9), 4) AS p90_clv,
+       count(avg_sentiment_score) AS customers_scored, {mean('avg_sentiment_score', 4, 4)} AS avg_sentiment,
+       count(expected_next_purchase_days) AS with_prediction, {mean('expected_next_purchase_days', 2)} AS avg_next_purchase_days,
+       min(expected_next_purchase_days) AS min_next_purchase_days
+FROM g_health GROUP BY GROUPING SETS ((), (customer_state), (rfm_segment), (customer_state, rfm_segment))""")(
+    lambda t: rollups.measures_by(health(t), GROUPINGS))
