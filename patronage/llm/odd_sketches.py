@@ -182,20 +182,24 @@ def with_least(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 
 def dealt(rows: DataFrame, by: list[str], weight: str, block: int) -> DataFrame:
     """``rows`` (by, key, label, ...) with ``part``: members of different labels of one ``by`` meet in some part. Groups of at most
-    ``block`` weight have one part; in others the largest label's blocks meet those of the other labels, and these each other."""
+    ``block`` weight have one part; in others the largest label's blocks meet those of the other labels, and these each other.
+
+    Only groups above ``block`` are stored and joined; while they are few, Spark sends them to the rows instead of shuffling those.
+    """
     sizes = rows.groupBy(*by, "label").agg(F.sum(weight).alias("w")).groupBy(*by).agg(
         F.sum("w").alias("total"), F.max("w").alias("most"), F.max_by("label", F.struct("w", "label")).alias("main"))
-    met = rows.join(sizes, by)
+    large = materialize(sizes.where(F.col("total") > block), "large-groups")
+    met = rows.join(large, by, "left")
     main = F.col("label") == F.col("main")
     first, second = F.ceil(F.col("most") / block), F.ceil((F.col("total") - F.col("most")) / block)
     mine = F.pmod(F.xxhash64("key"), F.when(main, first).otherwise(second))
     number = lambda a, b: F.least(a, b) * (1 << 31) + F.greatest(a, b)
     ahead = F.sequence(F.lit(0).cast("long"), first - 1)
     beside = F.sequence(first, first + second - 1)
-    parts = (F.when(F.col("total") <= block, F.array(F.lit(0).cast("long")))
+    parts = (F.when(F.col("total").isNull(), F.array(F.lit(0).cast("long")))
              .when(main, F.transform(beside, lambda o: number(mine, o)))
              .otherwise(F.concat(F.transform(ahead, lambda o: number(o, first + mine)), F.transform(beside, lambda o: number(o, first + mine)))))
-    return met.where(F.col("total") > F.when(main, F.col("most")).otherwise(F.lit(0))).select(rows["*"], F.explode(parts).alias("part"))
+    return met.select(rows["*"], F.explode(parts).alias("part"))
 
 
 def runs(batches: Iterator[pa.RecordBatch], places: int) -> Iterator[tuple[tuple, list[tuple]]]:
@@ -301,8 +305,10 @@ def classes(distinct: DataFrame, fetch: Callable[[DataFrame], DataFrame], least:
     first = materialize(with_least(pairs, sets, least), "head-links")
     joined = components(first, "a", "b").withColumnRenamed("node", "key")
     labelled = members.where("n > 2").select("t", "bucket", "key").join(joined, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    mixed = labelled.groupBy("t", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    rows = (labelled.join(mixed.select("t", "bucket"), ["t", "bucket"]).join(distinct.select("key", "size", "sketch"), "key")
+    # stored, so that Spark knows their size: few of them go to the members, whose buckets may be hot
+    mixed = materialize(labelled.groupBy("t", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                        .where("low <> high").select("t", "bucket"), "mixed-buckets")
+    rows = (labelled.join(mixed, ["t", "bucket"]).join(distinct.select("key", "size", "sketch"), "key")
             .select("t", "bucket", "key", "label", "size", "sketch"))
     found = materialize(groups(rows, least, bucket_block), "sketch-groups")
     if found.isEmpty():
