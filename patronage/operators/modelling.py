@@ -77,14 +77,19 @@ def _filled(df: DataFrame, numeric: Sequence[str], fills: dict[str, float]) -> D
     return df.withColumns({f"num_{c}": F.coalesce(F.col(c).cast("double"), F.lit(fills[c])) for c in numeric})
 
 
-def fit_design(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], zero_fill: Sequence[str] = (),
-               accuracy: int = 100_000) -> Design:
+def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, median) of numeric columns, exact, all from one sort; a column without a value has no row."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("x"))
+    return exact_percentiles(long.select("x.*"), "value", {"median": "0.5"}, ["column"])
+
+
+def fit_design(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], zero_fill: Sequence[str] = ()) -> Design:
     """Median fills (0 where a column is all NULL or listed in ``zero_fill``) and one-hot categories.
 
-    Unknown and missing categories become all zeros. Medians come from a sketch of bounded size.
+    Unknown and missing categories become all zeros.
     """
-    medians = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in numeric]).first()
-    fills = {c: 0.0 if c in zero_fill or medians[c] is None else float(medians[c]) for c in numeric}
+    middle = {r["column"]: r["median"] for r in medians(df, [c for c in numeric if c not in zero_fill]).collect()}
+    fills = {c: float(middle.get(c, 0.0)) for c in numeric}
     filled = _filled(df, numeric, fills)
     index = StringIndexer(inputCols=list(categorical), outputCols=[f"idx_{c}" for c in categorical],
                           handleInvalid="keep", stringOrderType="alphabetAsc").fit(filled)

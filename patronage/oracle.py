@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from .sources.sample_tables import LEXICON, SAMPLE_BOOSTERS, SAMPLE_NEGATORS
+
 
 def ratio(numerator: str, denominator: str, digits: int) -> str:
     """Integer numerator / integer denominator, rounded half away from zero, as DOUBLE."""
@@ -357,14 +359,6 @@ FROM (SELECT coalesce(customer_state, 'UNKNOWN') AS customer_state, count(*) AS
              {mean('customer_health_score', 2)} AS avg_health_score, {mean('avg_review_score', 2)} AS avg_review_score
       FROM g_360 GROUP BY 1) s""")
 
-table("g_sent", """
-SELECT review_id, order_id, customer_unique_id, review_score, review_comment_message, review_creation_date, compound_score,
-       CASE WHEN compound_score >= 0.05 THEN 'positive' WHEN compound_score <= -0.05 THEN 'negative'
-            WHEN compound_score IS NOT NULL THEN 'neutral' END AS sentiment_label
-FROM (SELECT *, CASE WHEN review_comment_message IS NOT NULL THEN
-               CAST(CAST((CAST(substr(review_id, 2) AS BIGINT) * 29) % 2001 - 1000 AS DECIMAL(10,4)) / 1000 AS DECIMAL(6,4)) END
-               AS compound_score FROM s_reviews)""")
-
 
 # -- texts ---------------------------------------------------------------------
 
@@ -413,3 +407,15 @@ def compound(source: str, key: str, text: str, lexicon: dict[str, str], negators
                      generate_subscripts(string_split_regex(lower({text}), '\\s+'), 1) AS place
               FROM {source} WHERE {text} IS NOT NULL)))
     LEFT JOIN ({words}) lexicon(word, valence) USING (word) GROUP BY 1)))"""
+
+
+# -- reviews with the scores of their texts --------------------------------------
+
+table("d_scores", compound(f"(SELECT doc_id, {cleaned('text')} AS body FROM documents)", "doc_id", "body", LEXICON, SAMPLE_NEGATORS,
+                           SAMPLE_BOOSTERS))
+
+table("g_sent", """
+SELECT review_id, order_id, customer_unique_id, review_score, review_comment_message, review_creation_date, compound_score,
+       CASE WHEN compound_score >= 0.05 THEN 'positive' WHEN compound_score <= -0.05 THEN 'negative'
+            WHEN compound_score IS NOT NULL THEN 'neutral' END AS sentiment_label
+FROM s_reviews LEFT JOIN d_scores USING (doc_id)""")

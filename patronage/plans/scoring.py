@@ -97,14 +97,23 @@ def run_next_purchase(orders: DataFrame, constants: DataFrame, profile: DataFram
     return PurchaseRun(survival.concordance(model.transform(rows)), survival.expected_next_purchase(model, open_rows))
 
 
-def score_all(gold: Gold, facts: Facts, items: DataFrame, products: DataFrame, lexicon: DataFrame, cutoff: str,
-              forced_k: int | None = None, created_at: str | None = None, **settings) -> dict[str, DataFrame]:
-    """All scoring steps in order: sentiment, segments, value, churn, next purchase, actions."""
-    scores = materialize(write_back(gold.sentiment_scores, score_reviews(gold.sentiment_scores, lexicon), "review_id"), "scores")
+def scored_sentiment(scores: DataFrame, lexicon: DataFrame, **words) -> DataFrame:
+    """The review table with scores for the texts that had none."""
+    return write_back(scores, score_reviews(scores, lexicon, **words), "review_id")
+
+
+def score_all(gold: Gold, facts: Facts, items: DataFrame, products: DataFrame, lexicon: DataFrame | None, cutoff: str,
+              forced_k: int | None = None, created_at: str | None = None, band_settings: dict | None = None,
+              words: dict | None = None, **settings) -> dict[str, DataFrame]:
+    """All scoring steps in order: sentiment, segments, value, churn, next purchase, actions. Also what the models say of themselves.
+
+    Without a lexicon the reviews are taken as scored before.
+    """
+    scores = gold.sentiment_scores if lexicon is None else materialize(scored_sentiment(gold.sentiment_scores, lexicon, **(words or {})), "scores")
     profile = write_back(gold.customer_360, customer_sentiment(scores), PERSON)
     rfm = materialize(modelling.segment_clusters(with_segment(gold.rfm_features), forced_k), "rfm")
     clv = materialize(gold.clv_features, "clv")
-    value = run_value_model(value_frame(facts, items, products, clv, cutoff), **settings)
+    value = run_value_model(value_frame(facts, items, products, clv, cutoff), band_settings=band_settings, **settings)
     clv = materialize(write_back(clv, value.predictions, PERSON), "clv")
     profile = materialize(profile, "customer-360")
     churn = run_churn_model(churn_training_frame(profile, clv), **settings)
@@ -115,4 +124,6 @@ def score_all(gold: Gold, facts: Facts, items: DataFrame, products: DataFrame, l
         rfm.select(PERSON, "rfm_segment"), PERSON).join(clv.select(PERSON, "clv_predicted_6m"), PERSON, "left")
     queue = materialize(assign_actions(inputs, created_at=created_at), "action-queue")
     return {"customer_360": profile, "rfm_features": rfm, "clv_features": clv, "sentiment_scores": scores,
-            "action_queue": queue}
+            "action_queue": queue, "value_metrics": value.metrics.crossJoin(F.broadcast(value.coverage)),
+            "churn_metrics": churn.metrics, "churn_importances": churn.importances, "survival_concordance": purchase.concordance,
+            "next_purchase": purchase.predictions}

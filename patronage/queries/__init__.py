@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import checks, dashboards, exploration, ingestion, marts, models, texts  # noqa: F401
+from . import chain, checks, dashboards, exploration, ingestion, marts, models, texts  # noqa: F401
 from .registry import QUERIES, oracle_sql, queries
 
 __all__ = ["QUERIES", "oracle_sql", "queries"]

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import modelling, survival
+from ..operators import modelling, quantiles, survival
 from ..oracle import cents, ratio
-from ..plans import gold, scoring
+from ..plans import gold
 from ..sources.sample_tables import ML_CUTOFF, SampleTables
 from . import marts as m
-from .registry import register
+from .registry import QUERIES, register
 from .store import stored_marts
 
 PRE = ("customer_unique_id:s total_orders_pre_cutoff:i total_gmv_pre_cutoff:d avg_order_value_pre_cutoff:d "
@@ -103,57 +106,118 @@ FROM {CURVE_SQL} ORDER BY CAST(tp AS DOUBLE) / (flagged + positives) DESC, thres
     lambda t: modelling.threshold_metrics(stand_in_curve(t)).withColumns({c: F.round(c, 9) for c in ("f1", "roc_auc")}))
 
 
-# -- fitted models: no SQL counterpart -------------------------------------------
+# -- what follows a fit, on given predictions ---------------------------------------
 
-# boosting rounds of the registered queries; the library default is 200
-ROUNDS = 200
-_RUNS: dict[tuple[str, str, str], object] = {}
+def predicted_values(t: SampleTables) -> DataFrame:
+    """Stand-in predictions with the values they stand for."""
+    clv = stored_marts(t).clv.where(F.col("clv_predicted_6m").isNotNull())
+    number = lambda c: F.col(c).cast("double")
+    return clv.select(m.PERSON, number("clv_predicted_6m").alias("prediction"), number("actual_gmv_post_cutoff").alias("label"),
+                      number("clv_ci_lower").alias("q_lower"), (number("clv_ci_upper") - 5).alias("q_upper"))
 
 
-def once(kind: str, t: SampleTables, run):
-    """A fitted model serves all queries about it in the same session."""
-    key = (kind, t.spark.sparkContext.applicationId, t.path)
-    if key not in _RUNS:
-        _RUNS[key] = run()
-    return _RUNS[key]
+GIVEN = """(SELECT CAST(clv_predicted_6m AS DOUBLE) AS p, CAST(actual_gmv_post_cutoff AS DOUBLE) AS y, CAST(clv_ci_lower AS DOUBLE) AS lo,
+       CAST(clv_ci_upper AS DOUBLE) - 5 AS hi FROM g_health WHERE clv_predicted_6m IS NOT NULL)"""
 
 
-def value_run(t: SampleTables) -> scoring.ValueRun:
-    def run() -> scoring.ValueRun:
-        frame = scoring.value_frame(m.facts(t), t.items, m.products_dim(t), stored_marts(t).clv, ML_CUTOFF)
-        return scoring.run_value_model(frame, maxIter=ROUNDS)
-    return once("value", t, run)
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
 
 
-def churn_run(t: SampleTables) -> scoring.ChurnRun:
-    return once("churn", t, lambda: scoring.run_churn_model(
-        gold.churn_training_frame(stored_marts(t).profile, stored_marts(t).clv), maxIter=ROUNDS))
+register("regression_metrics", "n:i mae:d rmse:d r2:d mean_actual:d mean_predicted:d", f"""
+SELECT count(*) AS n, round(avg(abs(p - y)), 6) AS mae, round(sqrt(avg((p - y) * (p - y))), 6) AS rmse,
+       round(1 - avg((p - y) * (p - y)) / var_pop(y), 6) AS r2, round(avg(y), 6) AS mean_actual, round(avg(p), 6) AS mean_predicted FROM {GIVEN}""")(
+    lambda t: rounded(modelling.regression_metrics(predicted_values(t))))
 
+register("quantile_band_metrics", "coverage:d loss_lower:d loss_upper:d mean_width:d crossed:i", f"""
+SELECT round(avg(CASE WHEN y BETWEEN lo AND hi THEN 1.0 ELSE 0.0 END), 6) AS coverage,
+       round(avg(greatest(0.1 * (y - lo), -0.9 * (y - lo))), 6) AS loss_lower, round(avg(greatest(0.9 * (y - hi), -0.1 * (y - hi))), 6) AS loss_upper,
+       round(avg(greatest(hi, p) - least(lo, p)), 6) AS mean_width, count(*) FILTER (WHERE lo > p OR hi < p) AS crossed FROM {GIVEN}""")(
+    lambda t: rounded(quantiles.band_metrics(quantiles.bounded(predicted_values(t)))))
 
-def purchase_run(t: SampleTables) -> scoring.PurchaseRun:
-    s = stored_marts(t)
-    return once("purchase", t, lambda: scoring.run_next_purchase(m.known_orders(t), s.constants, s.profile, s.clv))
 
+@register("residual_quantiles", "bin:i low:d high:d", f"""
+SELECT bin, round(quantile_cont(y - p, 0.1), 6) AS low, round(quantile_cont(y - p, 0.9), 6) AS high
+FROM (SELECT p, y, (SELECT count(DISTINCT q) FROM (SELECT unnest(quantile_cont(p, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS q FROM {GIVEN})
+                    WHERE g.p > q) AS bin
+      FROM {GIVEN} g) GROUP BY bin""")
+def residual_quantiles(t: SampleTables) -> DataFrame:
+    """Per decile of the prediction, what is added to it for the conformal interval."""
+    band = modelling.fit_band(predicted_values(t))
+    return t.spark.createDataFrame([(b, float(low), float(high)) for b, (low, high) in band.offsets.items()], "bin int, low double, high double").select(
+        "bin", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
-register("segment_clusters", "customer_unique_id:s rfm_segment:s km_cluster:i")(
-    lambda t: modelling.segment_clusters(stored_marts(t).rfm.drop("km_cluster")))
 
-register("cluster_search", "k:i inertia:d silhouette:d")(
-    lambda t: modelling.cluster_search(modelling.score_cells(stored_marts(t).rfm)))
+@register("leaf_quantiles", "recency_score:i low:d high:d", """
+SELECT recency_score, min(total_gmv) FILTER (WHERE rn >= ceil(0.1 * n)) AS low, min(total_gmv) FILTER (WHERE rn >= ceil(0.9 * n)) AS high
+FROM (SELECT recency_score, total_gmv, row_number() OVER (PARTITION BY recency_score ORDER BY total_gmv) AS rn,
+             count(*) OVER (PARTITION BY recency_score) AS n FROM g_rfm JOIN g_360 USING (customer_unique_id)) GROUP BY 1""")
+def leaf_quantiles(t: SampleTables) -> DataFrame:
+    """The order statistics that a round of quantile boosting puts into its leaves, here of five groups."""
+    rows = stored_marts(t).rfm.select("recency_score", F.col("monetary").cast("double").alias("value"))
+    low, high = (quantiles.order_statistics(rows, "recency_score", "value", share) for share in (0.1, 0.9))
+    return t.spark.createDataFrame([(g, low[g], high[g]) for g in low], "recency_score int, low double, high double")
+
+
+CLV_MEDIANS = [c for c in modelling.CLV_NUMERIC if c not in modelling.CLV_ZERO_FILL]
+
+register("design_medians", "column_name:s median:d", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS median FROM f" for c in CLV_MEDIANS).join(
+    ("SELECT * FROM (WITH f AS (SELECT *, CASE WHEN total_orders_pre_cutoff = 1 THEN 1 ELSE 0 END AS is_single_order "
+     f"FROM {PRE_SQL}) ", ")")))(
+    lambda t: modelling.medians(gold.clv_training_frame(pre_cutoff(t), stored_marts(t).clv), CLV_MEDIANS)
+    .select(F.col("column").alias("column_name"), F.round("median", 6).alias("median")))
+
+SHAPE = 1.3
+register("remaining_medians", "customer_unique_id:s days:d", f"""
+SELECT customer_unique_id, round(greatest(s * pow(pow(w / s, {SHAPE}) + 0.6931471805599453, 1.0 / {SHAPE}) - w, 0), 4) AS days
+FROM (SELECT customer_unique_id, CAST(days_since_last_order AS DOUBLE) AS w, 30.0 + 10 * total_orders AS s FROM g_360)""")(
+    lambda t: stored_marts(t).profile.select(m.PERSON, F.round(survival.remaining_median(
+        F.lit(30.0) + F.col("total_orders") * 10, SHAPE, F.col("days_since_last_order").cast("double")), 4).alias("days")))
+
+INTERVALS = QUERIES["purchase_intervals"].sql
 
-register("clv_predictions", "customer_unique_id:s clv_predicted_6m:d clv_ci_lower:d clv_ci_upper:d")(
-    lambda t: value_run(t).predictions)
 
-register("clv_metrics", "n:i mae:d rmse:d r2:d mean_actual:d mean_predicted:d coverage:d")(
-    lambda t: value_run(t).metrics.crossJoin(F.broadcast(value_run(t).coverage)))
+def given_intervals(t: SampleTables) -> DataFrame:
+    """Intervals with one covariate, the customer's orders."""
+    return survival.purchase_intervals(m.known_orders(t), gold.run_constants(t.orders, ML_CUTOFF)).join(
+        stored_marts(t).profile.select(m.PERSON, "total_orders"), m.PERSON)
 
-register("churn_predictions", "customer_unique_id:s churn_probability:d")(lambda t: churn_run(t).predictions)
 
-register("churn_metrics", "threshold:d f1:d precision:d recall:d roc_auc:d tp:i fp:i fn:i tn:i")(
-    lambda t: churn_run(t).metrics)
+register("concordance_of_given", "concordance:d comparable_pairs:i", f"""
+SELECT round(sum(CASE WHEN b.p > a.p THEN b.n WHEN b.p = a.p THEN b.n / 2.0 ELSE 0 END * a.n) / sum(a.n * b.n), 9) AS concordance,
+       CAST(sum(a.n * b.n) AS BIGINT) AS comparable_pairs
+FROM (SELECT duration AS d, event AS e, total_orders % 9 AS p, count(*) AS n FROM ({INTERVALS}) i JOIN g_360 USING (customer_unique_id) GROUP BY ALL) a
+JOIN (SELECT duration AS d, event AS e, total_orders % 9 AS p, count(*) AS n FROM ({INTERVALS}) i JOIN g_360 USING (customer_unique_id) GROUP BY ALL) b
+  ON a.e = 1 AND (b.d > a.d OR (b.d = a.d AND b.e = 0))""")(
+    lambda t: rounded(survival.concordance(given_intervals(t).withColumn("prediction", F.col("total_orders") % 9)), 9))
 
-register("churn_importances", "feature:s importance:d")(lambda t: churn_run(t).importances)
+# coefficient, intercept and log shape at which the sums of a Newton step are taken
+AT = (0.02, 4.0, 0.1)
+_SUMS = {"likelihood": "e * (0.1 - ln(d) + w) - h", "by_coefficient": "x * k * (h - e)", "by_intercept": "k * (h - e)", "by_shape": "e * (1 + w) - w * h",
+         "coefficient_coefficient": "-x * x * k * k * h", "coefficient_intercept": "-x * k * k * h", "coefficient_shape": "x * (k * (h - e) + k * w * h)",
+         "intercept_intercept": "-k * k * h", "intercept_shape": "k * (h - e) + k * w * h", "shape_shape": "w * (e - h) - w * w * h"}
 
-register("next_purchase", "customer_unique_id:s expected_next_purchase_days:d")(lambda t: purchase_run(t).predictions)
 
-register("survival_concordance", "concordance:d comparable_pairs:i")(lambda t: purchase_run(t).concordance)
+@register("survival_step_sums", "name:s value:d", " UNION ALL ".join(
+    f"SELECT '{n}' AS name, round(sum({f}), 3) AS value FROM s" for n, f in _SUMS.items()).join((f"""
+SELECT * FROM (WITH s AS (SELECT *, exp(w) AS h FROM (
+  SELECT *, exp(0.1) AS k, exp(0.1) * (ln(d) - 0.02 * x - 4.0) AS w FROM (
+    SELECT CAST(duration AS DOUBLE) AS d, CAST(event AS DOUBLE) AS e, CAST(total_orders AS DOUBLE) AS x
+    FROM ({INTERVALS}) i JOIN g_360 USING (customer_unique_id)))) """, ")")))
+def survival_step_sums(t: SampleTables) -> DataFrame:
+    """Log-likelihood, gradient and Hessian of the survival model at given parameters."""
+    rows = VectorAssembler(inputCols=["total_orders"], outputCol="features").transform(given_intervals(t)).select(
+        vector_to_array("features").alias("x"), F.col("duration").cast("double"), F.col("event").cast("double"))
+    total, slope, bend = survival.likelihood_sums(rows, np.ones(1), np.array(AT[:1]), *AT[1:])
+    values = [total, *slope, *bend[np.triu_indices(3)]]
+    return t.spark.createDataFrame([(n, round(float(v), 3)) for n, v in zip(_SUMS, values, strict=True)], "name string, value double")
+
+
+# -- clusters: no SQL counterpart -----------------------------------------------------
+
+register("segment_clusters", "customer_unique_id:s rfm_segment:s km_cluster:i")(
+    lambda t: modelling.segment_clusters(stored_marts(t).rfm.drop("km_cluster")))
+
+register("cluster_search", "k:i inertia:d silhouette:d")(
+    lambda t: modelling.cluster_search(modelling.score_cells(stored_marts(t).rfm)))

@@ -1,17 +1,18 @@
-"""Marts stored once per session and input folder; views and dashboards read the stored tables."""
+"""Marts stored once per state of the input files; views and dashboards read the stored tables."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.actions import assign_actions
-from ..plans import gold, views
+from ..plans import gold, scoring, silver, views
+from ..plans.runs import fingerprint, reused
 from ..session import materialize
 from ..sources.files import add_nullable, write_back
-from ..sources.sample_tables import ML_CUTOFF, SampleTables
+from ..sources.sample_tables import ML_CUTOFF, SAMPLE_BOOSTERS, SAMPLE_NEGATORS, SampleTables
 from . import marts as m
 
 PERSON = "customer_unique_id"
@@ -31,9 +32,6 @@ class Marts:
         return views.customer_health(self.profile, self.rfm, self.clv, self.queue, self.constants)
 
 
-_STORED: dict[tuple[str, str], Marts] = {}
-
-
 def build_marts(t: SampleTables) -> Marts:
     """All marts from the raw tables, with the stand-in scores written back and the actions assigned."""
     f = m.facts(t)
@@ -54,15 +52,28 @@ def build_marts(t: SampleTables) -> Marts:
     return Marts(profile, rfm, clv, queue, materialize(made.run_constants, "run-constants"))
 
 
+def inputs_key(t: SampleTables) -> str:
+    return fingerprint(t.spark, t.path)
+
+
 def stored_marts(t: SampleTables) -> Marts:
-    key = (t.spark.sparkContext.applicationId, t.path)
-    if key not in _STORED:
-        _STORED[key] = build_marts(t)
-    return _STORED[key]
+    """The marts of the input files as they are now."""
+    names = [f.name for f in fields(Marts)]
+
+    def build() -> dict[str, DataFrame]:
+        made = build_marts(t)
+        return {n: getattr(made, n) for n in names}
+
+    tables = reused(t.spark, "marts", inputs_key(t), build)
+    return Marts(**{n: tables[n] for n in names})
 
 
 def scored_reviews(t: SampleTables) -> DataFrame:
-    return m.review_dim(t).select(
-        "review_id", "order_id", PERSON, "review_score", "review_comment_message",
-        "review_creation_date", t.review_compound().alias("compound_score")).withColumn(
-        "sentiment_label", m.fx.sentiment_label(F.col("compound_score")))
+    """Reviews with the lexicon scores of their texts; of a text itself only that there is one."""
+    def build() -> dict[str, DataFrame]:
+        reviews = gold.sentiment_skeleton(silver.dim_review(t.reviews, t.orders, t.customers))
+        scored = scoring.scored_sentiment(reviews, t.lexicon, negators=SAMPLE_NEGATORS, boosters=SAMPLE_BOOSTERS)
+        marker = F.when(F.col("review_comment_message").isNotNull(), "text")
+        return {"reviews": scored.withColumn("review_comment_message", marker)}
+
+    return reused(t.spark, "scored-reviews", inputs_key(t), build)["reviews"]

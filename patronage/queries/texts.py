@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.text import cleaned
 from ..operators import sentiment
 from ..oracle import cleaned as cleaned_sql
-from ..oracle import compound, mean
+from ..oracle import mean
 from ..plans import gold, silver
 from ..session import spread
-from ..sources.sample_tables import LEXICON, SAMPLE_BOOSTERS, SAMPLE_NEGATORS, SampleTables
+from ..sources.sample_tables import SAMPLE_BOOSTERS, SAMPLE_NEGATORS, SampleTables
 from .registry import register
 
 register("cleaned_documents", "doc_id:i cleaned:s", f"SELECT doc_id, {cleaned_sql('text')} AS cleaned FROM documents")(
@@ -25,8 +25,7 @@ register("cleaned_conversations", "conv_id:i turn:i cleaned:s",
     lambda t: spread(t.read("conversations")).select("conv_id", "turn", cleaned("text").alias("cleaned")))
 
 LABEL_SQL = """CASE WHEN compound_score >= 0.05 THEN 'positive' WHEN compound_score <= -0.05 THEN 'negative' ELSE 'neutral' END"""
-DOC_SCORES_SQL = compound(f"(SELECT doc_id, {cleaned_sql('text')} AS body FROM documents)", "doc_id", "body", LEXICON,
-                          SAMPLE_NEGATORS, SAMPLE_BOOSTERS)
+DOC_SCORES_SQL = "d_scores"
 
 register("document_sentiment", "doc_id:i compound_score:d sentiment_label:s",
          f"SELECT *, {LABEL_SQL} AS sentiment_label FROM {DOC_SCORES_SQL}")(

@@ -256,9 +256,3 @@ class SampleTables:
             F.when(k % 4 != 0, _scaled((k * 17) % 3000, 10, "decimal(10,1)")).alias("expected_next_purchase_days"),
             (k % 5).cast("int").alias("km_cluster"),
         )
-
-    @staticmethod
-    def review_compound(review_id: str = "review_id", message: str = "review_comment_message") -> Column:
-        """Compound score by a fixed expression of the review id; NULL without text."""
-        k = F.expr(f"cast(substring({review_id}, 2) as bigint)")
-        return F.when(F.col(message).isNotNull(), _scaled((k * 29) % 2001 - 1000, 1000, "decimal(6,4)"))

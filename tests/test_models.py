@@ -20,9 +20,9 @@ def design(frame):
 
 
 def test_fills_and_unknown_categories(spark, design):
-    assert design.fills == {"x": 9.0, "gaps": 0.0, "empty": 0.0}
+    assert design.fills == {"x": 9.5, "gaps": 0.0, "empty": 0.0}
     unseen = spark.createDataFrame([(None, None, None, "Z", None)], "x double, gaps double, empty double, state string, kind string")
-    assert design.transform(unseen).first()["features"].toArray().tolist() == [9.0, 0.0, 0.0, 0.0, 0.0, 0.0]
+    assert design.transform(unseen).first()["features"].toArray().tolist() == [9.5, 0.0, 0.0, 0.0, 0.0, 0.0]
 
 
 def test_holdouts_are_fixed_and_sized(frame):
