@@ -86,6 +86,14 @@ def open_store(folder: str):
     return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
 
 
+def tasks_for(spark: SparkSession, total: int, items: int, each: int = 1 << 26) -> int:
+    """Tasks for ``items`` files or blocks of ``total`` bytes: about ``each`` bytes a task, but no fewer than there are cores for.
+
+    Given to a repartition as a number, as adaptive execution would merge rows that only name a file into one task.
+    """
+    return max(1, min(items, max(spark.sparkContext.defaultParallelism, -(-total // each))))
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of the links (a, b) over long ids: one row (node, label), label the smallest node reachable.
 

@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import open_store, prepare, run_folder, ship
+from .common import open_store, prepare, run_folder, ship, tasks_for
 from .tokens import Encoder
 
 
@@ -125,15 +125,17 @@ def scan_separators(spark: SparkSession, files: DataFrame, folder: str, separato
                         [pa.array([name] * ends.size, pa.string()), pa.array(ordinal + np.arange(ends.size)), pa.array(starts, pa.int64()),
                          pa.array(ends - starts, pa.int64()), pa.array(closed)], names=["file", "ordinal", "start", "n_tokens", "closed"])
 
-    blocks = blocks_of(files.select("file").distinct(), folder, width, block_tokens)
-    found = materialize(blocks.repartition("file", "block").mapInArrow(
+    blocks = materialize(blocks_of(files.select("file").distinct(), folder, width, block_tokens), "token-block-list")
+    total, count = blocks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    tasks = tasks_for(spark, total * width, count)
+    found = materialize(blocks.repartition(tasks, "file", "block").mapInArrow(
         summarise, "file string, block long, first long, n long, found long, last_end long"), "token-blocks")
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     carried = found.select(
         "file", "first", "n", F.coalesce(F.sum("found").over(before), F.lit(0)).alias("ordinal"),
         F.coalesce(F.max("last_end").over(before) + 1, F.lit(0)).alias("start"),
         F.lead("block").over(W.partitionBy("file").orderBy("block")).isNull().alias("final"))
-    return carried.mapInArrow(documents, "file string, ordinal long, start long, n_tokens long, closed boolean")
+    return carried.repartition(tasks, "file", "first").mapInArrow(documents, "file string, ordinal long, start long, n_tokens long, closed boolean")
 
 
 def count_tokens(docs: DataFrame, doc_id: str, text: str, path: str, pattern: str, separator: int) -> DataFrame:

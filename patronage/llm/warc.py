@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import open_store, ship
+from .common import open_store, ship, tasks_for
 
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -162,10 +162,16 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", uri: str = "url",
 
     manifest = f"{folder}/manifest"
     listed = STORED.replace("temporary string, ", "")
-    stored.repartition("shard", "seq").mapInArrow(commit, listed).write.parquet(manifest)
+    stored.repartition(file_tasks(stored), "shard", "seq").mapInArrow(commit, listed).write.parquet(manifest)
     return spark.read.schema(listed).parquet(manifest)
 
 
+def file_tasks(files: DataFrame) -> int:
+    """Tasks for files listed with their ``bytes``."""
+    total, count = files.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
+    return tasks_for(files.sparkSession, total, count)
+
+
 def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     fields = [f.split() for f in schema.split(", ")]
@@ -205,7 +211,7 @@ READ = ("key long, uri string, record_type string, refers_to long, payload_bytes
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """Every record of the archives in the manifest of ``folder``. Block digests are checked; a revisit's payload is NULL and
     its payload digest and length are those it states."""
-    names = spark.read.parquet(f"{folder}/manifest").select("name")
+    listed = spark.read.parquet(f"{folder}/manifest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(folder)
@@ -229,8 +235,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 if rows:
                     yield batch_of(rows, READ)
 
-    # one file a task where there are cores for it; names are few and short
-    return names.repartition("name").mapInArrow(run, READ)
+    return listed.select("name", "bytes").repartition(file_tasks(listed), "name").select("name").mapInArrow(run, READ)
 
 
 ship(__name__)

@@ -167,6 +167,15 @@ def test_bpe_rows(spark, odd):
     assert bpe.encode(odd.limit(0), path("byte_bpe_multi_50k.tiktoken"), PATTERN).count() == 0
 
 
+def test_bpe_of_a_word_of_a_megabyte(spark):
+    prepare(spark)
+    draw, encoding = random.Random(4), library()
+    long = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000)), "ab" * 100_000]
+    docs = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
+    rows = bpe.encode(docs, path("byte_bpe_multi_50k.tiktoken"), PATTERN).collect()
+    assert {r["doc_id"]: list(r["ids"]) for r in rows} == {i: encoding.encode_ordinary(t) for i, t in enumerate(long)}
+
+
 def test_bpe_remembers_words_between_blocks(spark, odd):
     prepare(spark)
     encoding = library()
@@ -283,3 +292,16 @@ def test_warc_rows_rolling_and_equal_runs(spark):
     assert kinds[503, "u"] == ("response", None)
     empty = run_folder(spark, "warc-test")
     assert warc.write(pages.limit(0), empty).count() == 0 and warc.read(spark, empty).count() == 0
+
+
+def test_files_are_read_in_more_than_one_task(spark):
+    prepare(spark)
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.lit("page "), F.sha2(F.col("id").cast("string"), 512)).alias("html"))
+    folder = run_folder(spark, "warc-test")
+    assert warc.write(pages, folder, shard_bytes=8000, file_bytes=4000).count() > 8
+    read = warc.read(spark, folder)
+    assert read.count() == 400 and read.select(F.spark_partition_id()).distinct().count() > 2
+    tokens = run_folder(spark, "token-test")
+    manifest = token_files.write_token_files(pages, "page_id", "html", path("byte_bpe_multi_50k.tiktoken"), PATTERN, 50256, tokens)
+    found = token_files.scan_separators(spark, manifest, tokens, 50256, block_tokens=500)
+    assert found.count() == 400 and found.select(F.spark_partition_id()).distinct().count() > 2
