@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, conversation_repair, language, merkle, nearest, odd_sketches, packing, quality_neighbours, quality_rules, secrets, simhash, token_files, warc
 from .common import run_folder, table
-from .contract_sql import MERKLE
+from .contract_sql import CONVERSATION_REPAIR, MERKLE, ODD_SKETCHES, WARC
 from .registry import register
 
 #: where the vocabulary files are and how texts are split before merges; parameters of the operators
@@ -22,12 +22,11 @@ def fold(modulus: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus))
 
 
-@register("op1_warc")
+@register("op1_warc", WARC)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), folder)
-    return warc.read(spark, folder).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to",
-                                           "file", "record")
+    return warc.read(spark, folder).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @register("op2_language")
@@ -129,7 +128,7 @@ def damaged(turns: DataFrame) -> DataFrame:
             .select("conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(role).alias("role"), changed.alias("text")))
 
 
-@register("op11_conversation_repair")
+@register("op11_conversation_repair", CONVERSATION_REPAIR)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     repair = conversation_repair.repair(damaged(turns))
@@ -141,6 +140,6 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
-@register("op13_odd_sketches")
+@register("op13_odd_sketches", ODD_SKETCHES)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketches.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, least=80)
