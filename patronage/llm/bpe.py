@@ -14,7 +14,7 @@ what is held is bounded by a block and by ``memory`` words, not by the corpus: t
 task's words alike and remember them, and begin anew at the first block after that many.
 
 Edge cases: a NULL or empty text has no ids and decodes to no bytes; repeated rows are encoded each; an empty table gives no
-rows; the time for a very long word grows with its length times the longest token, and with its distinct merges.
+rows; the time for a very long word grows with its length times its distinct merges.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ from .tokens import read_ranks, segments
 BUCKETS = 1 << 16
 REACHES = 1 << 17
 HEAD = 4
+#: pieces up to which a word is short
+SHORT = 100
 #: piece i is the character with this code point plus i; beyond the basic plane every code point is a character
 FIRST = 0x10000
 
@@ -90,7 +92,11 @@ def reach_literal(ranks: dict[bytes, int]) -> Column:
 
 
 def encoded_word(word: Column, table: Column, reach: Column) -> Column:
-    """The pieces of one word, given and returned as characters."""
+    """The pieces of one word, given and returned as characters.
+
+    Substrings are listed before they are looked up, so each is cut once, though a look-up names it twice. A long word's are cut
+    from its bytes, four a character, as a string is walked over from its start each time, and what repeats is folded once.
+    """
     def bucket(piece: Column, of: int = BUCKETS) -> Column:
         # the remainder of a power of two, as the buckets were dealt
         return F.xxhash64(piece).bitwiseAND(F.lit(of - 1)).cast("int")
@@ -98,11 +104,20 @@ def encoded_word(word: Column, table: Column, reach: Column) -> Column:
     def merge_of(piece: Column) -> Column:
         return F.element_at(F.get(table, bucket(piece)), piece)
 
-    n = F.length(word)
-    needed = F.flatten(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.transform(
-        F.sequence(F.lit(2), F.least(F.get(reach, bucket(F.substring(word, i, F.lit(HEAD)), REACHES)), n - i + 1)), lambda size: merge_of(F.substring(word, i, size)))))
-    folded = F.aggregate(F.sort_array(F.array_compact(needed)), word, lambda pieces, m: F.replace(pieces, m["f"], m["t"]))
-    return F.when(n < 2, word).otherwise(folded)
+    def beginnings(size: Column, cut) -> Column:
+        """From every place, the substrings that may be tokens."""
+        return F.flatten(F.transform(F.sequence(F.lit(1), size - 1), lambda place: F.transform(
+            F.sequence(F.lit(2), F.least(F.get(reach, bucket(cut(place, F.lit(HEAD)), REACHES)), size - place + 1)),
+            lambda length: cut(place, length).cast("string"))))
+
+    def of_bytes(content: Column) -> Column:
+        return beginnings(F.shiftright(F.octet_length(content), 2), lambda place, length: F.substring(content, place * 4 - 3, length * 4))
+
+    short = beginnings(F.shiftright(F.octet_length(word), 2), lambda place, length: F.substring(word, place, length))
+    long = F.array_distinct(F.get(F.transform(F.array(word.cast("binary")), of_bytes), F.lit(0)))
+    found = F.when(F.octet_length(word) <= 4 * SHORT, short).otherwise(long)
+    folded = F.aggregate(F.sort_array(F.array_compact(F.transform(found, merge_of))), word, lambda pieces, m: F.replace(pieces, m["f"], m["t"]))
+    return F.when(F.octet_length(word) < 8, word).otherwise(folded)
 
 
 class Numbers(dict):
@@ -174,7 +189,7 @@ def laid_out(values: np.ndarray, ends: np.ndarray, refs: np.ndarray) -> tuple[np
     return values[np.repeat(starts - (after - sizes), sizes) + np.arange(after[-1] if after.size else 0)], after
 
 
-def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = 4 << 20,
+def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = 3 << 20,
            memory: int = 300_000, rows_out: int = 64) -> DataFrame:
     """(doc_id, ids array<int>), one row per document."""
     spark = docs.sparkSession
