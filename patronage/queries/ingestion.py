@@ -14,12 +14,16 @@ from .registry import register
 from .store import stored_marts
 
 
-def through_csv(t: SampleTables, rows: DataFrame, table: str) -> DataFrame:
+#: a file with line breaks inside its values is read by one task, so a file set has many
+ROWS_PER_FILE = 20_000
+
+
+def through_csv(t: SampleTables, rows: DataFrame, table: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Write rows as a raw CSV file set and read it back with types."""
     spec = files.RAW_FILES[table]
     folder = f"{shared_dir(t.spark)}/raw-{uuid.uuid4().hex}"
     texts = rows.select(*[F.col(c).cast("string").alias(c) for c in spec.columns])
-    texts.write.csv(f"{folder}/{spec.filename}", header=True, quote='"', escape='"', quoteAll=True,
+    texts.write.option("maxRecordsPerFile", rows_per_file).csv(f"{folder}/{spec.filename}", header=True, quote='"', escape='"', quoteAll=True,
                     ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return files.read_raw(t.spark, folder, spec, "2001-08-02 00:00:00")
 
