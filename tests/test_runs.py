@@ -53,7 +53,7 @@ def test_a_step_that_fails_leaves_nothing_to_reuse(spark):
 
 def test_changed_input_changes_the_marts_of_the_same_session(spark, tmp_path):
     folder = str(tmp_path / "sample")
-    shutil.copytree(DATA, folder)
+    shutil.copytree(DATA, folder, copy_function=shutil.copyfile)  # the contents, not that they are read-only
     before = {r["table_name"]: r["row_count"] for r in queries()["silver_row_counts"](spark, folder).collect()}
     customers = queries()["customer_health"](spark, folder).count()
     one = spark.read.parquet(f"{folder}/orders.parquet").where("o_orderkey % 2 = 0").toPandas()
