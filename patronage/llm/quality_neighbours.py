@@ -95,6 +95,37 @@ def labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label:
     return texts, totals
 
 
+#: vectors of the space in which singular vectors of more rows than that are looked for, and vectors added to it at a time
+SPACE, WIDTH = 768, 64
+
+
+def leading(rows: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
+    """Squares of the ``rank`` largest singular values of ``rows``, without those of next to nothing, and their left vectors.
+
+    Few rows go through their Gram matrix. Of more, whose Gram matrix and its decomposition would be most of what the driver
+    holds, a Krylov space of a few hundred orthogonal vectors takes the place.
+    """
+    if len(rows) <= SPACE:
+        values, left = np.linalg.eigh(rows @ rows.T)
+    else:
+        space = np.empty((len(rows), 0), np.float32)
+        block = np.linalg.qr(np.random.default_rng(0).standard_normal((len(rows), WIDTH)))[0].astype(np.float32)
+        while space.shape[1] < SPACE:
+            space = np.hstack([space, block])
+            block = rows @ (rows.T @ block)
+            grown = np.linalg.norm(block)
+            block -= space @ (space.T @ block)
+            if np.linalg.norm(block) <= 1e-5 * grown:
+                break  # the space holds all that the rows span
+            block = np.linalg.qr(block)[0]
+            block = np.linalg.qr(block - space @ (space.T @ block))[0]
+        across = rows.T @ space
+        values, left = np.linalg.eigh(across.T @ across)
+    keep = np.argsort(values)[::-1][:rank]
+    keep = keep[values[keep] > 1e-6]
+    return values[keep], left[:, keep] if len(rows) <= SPACE else space @ left[:, keep]
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
         sample: int = 3000, rank: int = 48, neighbours: int = 15) -> NeighbourModel:
     """Learn from at most ``sample`` labelled documents. The driver gets their term counts, ``sample`` x 4,356 small numbers."""
@@ -126,12 +157,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     weighted *= idf[seen]
     length = np.sqrt(np.einsum("ij,ij->i", weighted, weighted))
     weighted /= np.where(length > 0, length, 1)[:, None]
-    # singular vectors through the Gram matrix of the documents
-    values, left = np.linalg.eigh(weighted @ weighted.T)
-    keep = np.argsort(values)[::-1][:rank]
-    keep = keep[values[keep] > 1e-6]
-    own = (weighted.T @ left[:, keep]) / np.sqrt(values[keep])
-    basis = np.zeros((size, keep.size), np.float32)
+    values, left = leading(weighted, rank)
+    own = (weighted.T @ left) / np.sqrt(values)
+    basis = np.zeros((size, values.size), np.float32)
     basis[seen] = own
     shares = {v: totals.get(v, 0) / max((y == v).sum(), 1) for v in (0, 1)}
     weights = np.array([shares[int(v)] for v in y])

@@ -241,6 +241,25 @@ def test_neighbours_without_labels_and_odd_rows(spark, odd, documents):
     assert quality_neighbours.keep_good(odd, model).columns == odd.columns
 
 
+def test_leading_vectors_of_many_rows_take_no_matrix_of_rows_by_rows(monkeypatch):
+    rng, plain = np.random.default_rng(3), np.linalg.eigh
+    whole = (rng.standard_normal((2000, 300)) * np.geomspace(1, 1e-3, 300)).astype(np.float32)
+    whole[1000:1500] = whole[:500]  # rows may repeat
+    values, left = plain(whole @ whole.T)
+
+    def small(matrix):
+        assert len(matrix) <= quality_neighbours.SPACE
+        return plain(matrix)
+
+    monkeypatch.setattr(np.linalg, "eigh", small)
+    found, vectors = quality_neighbours.leading(whole, 48)
+    np.testing.assert_allclose(found, values[::-1][:48], rtol=1e-4)
+    np.testing.assert_allclose(np.abs((vectors * left[:, ::-1][:, :48]).sum(axis=0)), 1, atol=1e-3)
+    flat, _ = quality_neighbours.leading(np.repeat(whole[:2], 800, axis=0), 48)  # two rows, each 800 times
+    np.testing.assert_allclose(flat[:2], plain(800 * (whole[:2] @ whole[:2].T))[0][::-1], rtol=1e-4)
+    assert (flat[2:] < 1e-6 * flat[0]).all()
+
+
 def test_nearest_leaves_out_what_has_no_direction(spark):
     prepare(spark)
     rng = np.random.default_rng(2)
