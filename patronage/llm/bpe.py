@@ -181,6 +181,12 @@ def blocks(docs: DataFrame, pattern: str, pieces: dict[int, str], block_bytes: i
     return docs.mapInArrow(run, BLOCK)
 
 
+def merged(docs: DataFrame, of: int = 2, spare: int = 2) -> DataFrame:
+    """``docs``, a table as read, with ``of`` splits in a task as long as each core has ``spare`` tasks: words they share are folded once."""
+    splits, cores = docs.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism
+    return docs.coalesce(max(-(-splits // of), min(splits, spare * cores)))
+
+
 def laid_out(values: np.ndarray, ends: np.ndarray, refs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lists given by flat ``values`` and ``ends``, picked by ``refs`` and joined: (flat values, end of each pick)."""
     starts = np.concatenate([[0], ends[:-1]])[refs]
@@ -190,7 +196,7 @@ def laid_out(values: np.ndarray, ends: np.ndarray, refs: np.ndarray) -> tuple[np
 
 
 def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = 3 << 20,
-           memory: int = 300_000, rows_out: int = 64) -> DataFrame:
+           memory: int = 450_000, rows_out: int = 64) -> DataFrame:
     """(doc_id, ids array<int>), one row per document."""
     spark = docs.sparkSession
     # else the literal is printed whole wherever the plan is

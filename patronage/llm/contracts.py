@@ -95,7 +95,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = TOKENIZERS("byte_bpe_multi_50k.tiktoken")
-    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, PATTERN), path, listed="listed")
+    docs = bpe.merged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = bpe.decode(bpe.encode(docs, path, PATTERN), path, listed="listed")
     # the list ends with a comma that the contract leaves out
     listed = F.substring("listed", F.lit(1), F.greatest(F.octet_length("listed") - 1, F.lit(0)))
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),

@@ -187,6 +187,15 @@ def test_bpe_remembers_words_between_blocks(spark, odd):
                 assert r["ids"] == encoding.encode_ordinary(ODD[r["doc_id"]] or ""), (block, memory)
 
 
+def test_bpe_folds_words_of_merged_splits_once(spark):
+    prepare(spark)
+    many = spark.range(0, 200, 1, 100).selectExpr("id AS doc_id", "'alpha beta' AS text")
+    pieces = {b: chr(bpe.FIRST + b) for b in range(256)}
+    folded = lambda docs: sum(len(r["words"]) for r in bpe.blocks(docs, contracts.PATTERN, pieces, 1 << 20, 1000).collect())
+    assert (folded(many), folded(bpe.merged(many))) == (200, 100)
+    assert bpe.merged(many.coalesce(3)).rdd.getNumPartitions() == 3  # no core goes idle for it
+
+
 def test_separators_are_stitched_across_blocks(spark, odd):
     prepare(spark)
     folder = run_folder(spark, "token-test")
