@@ -73,3 +73,17 @@ def test_ranking_plan_has_no_one_partition_window(spark):
     df = numbers(spark, range(100))
     plan = global_positions(df, ["k"], {"x": Order(F.col("v"))})._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_percentiles_work_out_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted_value(value):
+        seen.add(1)
+        return float(value)
+
+    rows = spark.range(0, 1000, 1, 8).select(F.pmod("id", F.lit(2)).alias("g"), counted_value("id").alias("v"))
+    found = exact_percentiles(rows.withColumn("v", F.col("v")), "v", {"median": "0.5"}, ["g"]).collect()
+    assert {(r["g"], r["median"]) for r in found} == {(0, 499.0), (1, 500.0)}
+    assert seen.value <= 2000  # the test for NULL may call it once more per row
