@@ -22,3 +22,11 @@ def spark():
 @pytest.fixture(scope="session")
 def sample(spark):
     return SampleTables(spark, DATA)
+
+
+@pytest.fixture(autouse=True)
+def whole_plans(request):
+    """op10_bpe cuts the text of plans short for the rest of its session; tests that read plans get them whole."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").conf.unset("spark.sql.maxPlanStringLength")
